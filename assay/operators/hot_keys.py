@@ -7,6 +7,8 @@ costs balance, never rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 ROWS_PER_TASK = 5_000_000
 SAMPLE = 0.001
 MOST_KEYS = 10_000
+MARK = "_same_"
 
 
 def find_hot_keys(
@@ -41,18 +44,20 @@ def find_hot_keys(
     return df.sparkSession.createDataFrame(rows, df.select(*keys).schema)
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+def marked(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with its keys renamed, ready to be joined by ``same_keys``."""
+    return df.withColumnsRenamed({key: MARK + key for key in keys})
+
+
+def same_keys(keys: Sequence[str]) -> Column:
     """Join condition on equal keys where NULL equals NULL, as grouping does."""
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
+    return reduce(and_, (F.col(key).eqNullSafe(F.col(MARK + key)) for key in keys))
 
 
 def split_by_keys(
     df: DataFrame, hot: DataFrame, keys: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
     """(rows with a hot key, all other rows). ``hot`` comes from ``find_hot_keys``."""
-    listed = F.broadcast(hot)
-    on = same_keys(df, hot, keys)
+    listed = F.broadcast(marked(hot, keys))
+    on = same_keys(keys)
     return df.join(listed, on, "left_semi"), df.join(listed, on, "left_anti")

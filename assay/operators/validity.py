@@ -55,9 +55,8 @@ def _end_by_calendar(df, keys, start, end, tie_breakers) -> DataFrame:
     rows = stage(df.withColumn("_row", F.monotonically_increasing_id()), "versions")
     rank = F.struct(*tie_breakers, "_row")
     days = rows.groupBy(*keys, start).agg(F.max(rank).alias("_last"))
-    days = days.withColumn(
-        "_next", F.lead(start).over(Window.partitionBy(*keys).orderBy(start))
-    )
-    joined = rows.join(days, hot_keys.same_keys(rows, days, [*keys, start]), "left")
-    following = F.when(rank == F.col("_last"), F.col("_next")).otherwise(rows[start])
-    return joined.select(*(rows[c] for c in df.columns), F.date_sub(following, 1).alias(end))
+    days = days.withColumn("_next", F.lead(start).over(Window.partitionBy(*keys).orderBy(start)))
+    each_day = [*keys, start]
+    joined = rows.join(hot_keys.marked(days, each_day), hot_keys.same_keys(each_day), "left")
+    following = F.when(rank == F.col("_last"), F.col("_next")).otherwise(F.col(start))
+    return joined.select(*df.columns, F.date_sub(following, 1).alias(end))

@@ -19,7 +19,7 @@ def padded(number: Column, width: int) -> Column:
 
 
 def date_int(day: Column) -> Column:
-    return F.date_format(day, "yyyyMMdd").cast("int")
+    return F.year(day) * 10_000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
 def product_number(part_key: Column) -> Column:

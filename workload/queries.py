@@ -65,9 +65,10 @@ def silver_category_passthrough(spark: SparkSession, folder: str) -> DataFrame:
 
 def silver_date_key(spark: SparkSession, folder: str) -> DataFrame:
     raw = exports.spoiled_date(F.col("l_shipdate").cast("date"), F.col("l_quantity").cast("int"))
-    return table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", raw.alias("raw"), date_from_int(raw).alias("day")
+    spoiled = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", raw.alias("raw")
     )
+    return spoiled.withColumn("day", date_from_int(F.col("raw")))
 
 
 def silver_sales_repair(spark: SparkSession, folder: str) -> DataFrame:
