@@ -21,7 +21,7 @@ from assay.plans.names import (
     GOLD,
     SILVER,
     SOURCE_FILES,
-    table_name,
+    Names,
 )
 from assay.session import tune
 from assay.sources import SOURCE_SCHEMAS, create_schema, overwrite_table, read_csv
@@ -46,13 +46,13 @@ class Transformation:
 
 
 def bronze_sources(
-    landing: str, catalog: str | None = None, infer_schema: bool = False
+    landing: str, names: Names = Names(), infer_schema: bool = False
 ) -> list[CsvSource]:
     """The six exports below the folder ``landing``."""
     return [
         CsvSource(
             f"{landing.rstrip('/')}/{file}",
-            table_name(BRONZE, table, catalog),
+            names.table(BRONZE, table),
             None if infer_schema else SOURCE_SCHEMAS[table],
         )
         for file, table in SOURCE_FILES.items()
@@ -60,15 +60,15 @@ def bronze_sources(
 
 
 def silver_transformations(
-    catalog: str | None = None,
+    names: Names = Names(),
     as_of: date | None = None,
     strict_codes: bool = False,
     product_end_column: str = "prd_end_dt",
 ) -> list[Transformation]:
     def cleaned(table: str, clean: Callable[..., DataFrame], **options) -> Transformation:
-        source = table_name(BRONZE, table, catalog)
+        source = names.table(BRONZE, table)
         return Transformation(
-            table_name(SILVER, table, catalog), lambda spark: clean(spark.table(source), **options)
+            names.table(SILVER, table), lambda spark: clean(spark.table(source), **options)
         )
 
     return [
@@ -84,18 +84,18 @@ def silver_transformations(
 
 
 def gold_transformations(
-    catalog: str | None = None, product_end_column: str = "prd_end_dt"
+    names: Names = Names(), product_end_column: str = "prd_end_dt"
 ) -> list[Transformation]:
     """Dimensions first: the fact reads them as written."""
     dim_products, dim_customers, fact = (
-        table_name(GOLD, t, catalog) for t in (DIM_PRODUCTS, DIM_CUSTOMERS, FACT_SALES)
+        names.table(GOLD, t) for t in (DIM_PRODUCTS, DIM_CUSTOMERS, FACT_SALES)
     )
 
     def from_tables(build: Callable[..., DataFrame], *tables: str, **options):
         return lambda spark: build(*(spark.table(t) for t in tables), **options)
 
     def cleaned(table: str) -> str:
-        return table_name(SILVER, table, catalog)
+        return names.table(SILVER, table)
 
     return [
         Transformation(
@@ -149,19 +149,28 @@ def transform(
 def run_all(
     spark: SparkSession,
     landing: str,
-    catalog: str | None = None,
+    names: Names = Names(),
+    location: str | None = None,
     table_format: str = DEFAULT_FORMAT,
     as_of: date | None = None,
     strict_codes: bool = False,
+    product_end_column: str = "prd_end_dt",
     gate: Callable[[SparkSession, str], None] | None = None,
 ) -> None:
-    """All three layers. ``gate(spark, layer)`` runs after each and stops the run by raising."""
+    """All three layers, below the folder ``location`` if given.
+
+    ``gate(spark, layer)`` runs after each layer and stops the run by raising.
+    """
     tune(spark)
-    load_csv(spark, bronze_sources(landing, catalog), table_format)
+    if location:
+        for layer in (BRONZE, SILVER, GOLD):
+            create_schema(spark, names.schema(layer), f"{location.rstrip('/')}/{layer}")
+    load_csv(spark, bronze_sources(landing, names), table_format)
     _pass(gate, spark, BRONZE)
-    transform(spark, silver_transformations(catalog, as_of, strict_codes), table_format)
+    cleaned = silver_transformations(names, as_of, strict_codes, product_end_column)
+    transform(spark, cleaned, table_format)
     _pass(gate, spark, SILVER)
-    transform(spark, gold_transformations(catalog), table_format)
+    transform(spark, gold_transformations(names, product_end_column), table_format)
     _pass(gate, spark, GOLD)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 BRONZE = "bronze"
 SILVER = "silver"
 GOLD = "gold"
@@ -21,6 +23,15 @@ DIM_CUSTOMERS = "dim_customers"
 FACT_SALES = "fact_sales"
 
 
-def table_name(layer: str, table: str, catalog: str | None = None) -> str:
-    """``layer.table``, below a catalog if one is named."""
-    return ".".join(part for part in (catalog, layer, table) if part)
+@dataclass(frozen=True)
+class Names:
+    """Where the layers live: below a catalog if one is named, with a prefix for trial runs."""
+
+    catalog: str | None = None
+    prefix: str = ""
+
+    def schema(self, layer: str) -> str:
+        return ".".join(part for part in (self.catalog, self.prefix + layer) if part)
+
+    def table(self, layer: str, table: str) -> str:
+        return f"{self.schema(layer)}.{table}"

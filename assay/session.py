@@ -16,6 +16,9 @@ RUNTIME_SETTINGS = {
     # Two lookups on the same key share one stage; without this a skewed first join stays unsplit
     # because splitting it costs the second join one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A dimension too large to broadcast still has small partitions: hash each of them (up to this
+    # measured size) rather than sort the whole fact table for a merge.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_csv(
@@ -25,7 +25,7 @@ def read_csv(
     reader = reader.option("mode", "PERMISSIVE")
     if corrupt_column:
         # The header has no such column, so Spark cannot compare names here.
-        schema = StructType(schema.fields).add(corrupt_column, StringType())
+        schema = StructType([*schema.fields, StructField(corrupt_column, StringType())])
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     else:
         reader = reader.option("enforceSchema", False)

@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 DEFAULT_FORMAT = "parquet"
 
 
-def create_schema(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+def create_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Create a schema if absent, in the warehouse or at ``location``."""
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
 
 
 def overwrite_table(

@@ -6,6 +6,7 @@ import pytest
 
 from assay.operators import duplicate_counts
 from assay.plans import layers
+from assay.plans.names import Names
 from assay.quality import QualityGateError, QualityRunner
 from assay.sources import SOURCE_SCHEMAS, append_rows, overwrite_table, read_csv
 
@@ -194,12 +195,25 @@ def test_a_failing_query_leaves_the_table(loaded):
     assert table(loaded, "gold.dim_products") == before
 
 
-def test_catalog_names():
-    assert layers.bronze_sources("/x/", catalog="sales")[0].table == "sales.bronze.crm_cust_info"
+def test_names():
+    below = Names(catalog="sales")
+    assert layers.bronze_sources("/x/", below)[0].table == "sales.bronze.crm_cust_info"
     assert layers.bronze_sources("/x/")[0].path == "/x/crm/cust_info.csv"
-    assert [s.destination for s in layers.gold_transformations("sales")] == [
+    assert [s.destination for s in layers.gold_transformations(below)] == [
         "sales.gold.dim_products", "sales.gold.dim_customers", "sales.gold.fact_sales",
     ]
+    assert Names(prefix="trial_").table("gold", "t") == "trial_gold.t"
+
+
+def test_layers_may_live_in_a_folder_of_their_own(loaded, landing, tmp_path):
+    names = Names(prefix="apart_")
+    layers.run_all(
+        loaded, landing, names, location=str(tmp_path), as_of=date(2024, 1, 1),
+        product_end_column="pd_end_dt",
+    )
+    assert (tmp_path / "gold" / "fact_sales").is_dir()
+    for name in ("dim_products", "dim_customers", "fact_sales"):
+        assert table(loaded, f"apart_gold.{name}") == table(loaded, f"gold.{name}")
 
 
 def test_schema_inference_is_an_option(loaded, landing):

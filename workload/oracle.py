@@ -88,6 +88,7 @@ _COLUMNS = (
 _ALL = list(_CHECK_SQL)
 
 ORACLE: dict[str, str] = {
+    "layers_end_to_end": select_from("fact_sales"),
     "bronze_csv_scan": select_from("sales"),
     "silver_category_passthrough": select_from("categories"),
     "silver_date_key": f"""
@@ -177,6 +178,12 @@ ORACLE: dict[str, str] = {
     "dq_orphan_rows": """
         SELECT doc_id, lang, source FROM documents d
         WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
+    "dq_audit_log": _checks(
+        f"'run-1' AS run_id, layer, 'manual' AS pipeline_run_id, {_COLUMNS}, details",
+        "row_count",
+        "value_set",
+        tail=", (VALUES ('bronze'), ('silver')) AS layers(layer)",
+    ),
     "dq_run_summary": _checks(
         """'run-1' AS run_id, 'silver' AS layer, table_name,
           CAST(count(*) FILTER (passed) AS BIGINT) AS passed,

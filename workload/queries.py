@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timezone
 
@@ -26,10 +27,11 @@ from assay.operators import (
     with_surrogate_key,
     with_validity_end,
 )
-from assay.plans import gold, silver
+from assay.plans import gold, layers, silver
+from assay.plans.names import FACT_SALES, GOLD, Names
 from assay.quality import QualityRunner, alerts, run_summary
 from assay.session import new_path
-from assay.sources import SOURCE_SCHEMAS, read_csv
+from assay.sources import SOURCE_SCHEMAS, create_schema, read_csv
 from workload import exports
 from workload.exports import customer_number, table
 
@@ -59,6 +61,23 @@ def bronze_csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     return read_csv(spark, path, SOURCE_SCHEMAS["crm_sales_details"])
 
 
+def layers_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
+    """All six exports as CSV files, through bronze, silver and gold tables, to the written fact."""
+    names = trial_names()
+    place = new_path(spark, "layers")
+    landing = f"{place}/landing"
+    for file, export in EXPORTS.items():
+        df = export(spark, folder)
+        df.write.option("header", True).csv(f"{landing}/{file}")
+    layers.run_all(spark, landing, names, location=place, as_of=AS_OF)
+    return spark.table(names.table(GOLD, FACT_SALES))
+
+
+def trial_names() -> Names:
+    """Schemas of their own for one call."""
+    return Names(prefix=f"trial_{uuid.uuid4().hex[:12]}_")
+
+
 def silver_category_passthrough(spark: SparkSession, folder: str) -> DataFrame:
     return silver.product_categories(exports.categories(spark, folder))
 
@@ -305,6 +324,19 @@ def dq_orphan_rows(spark: SparkSession, folder: str) -> DataFrame:
     return orphan_rows(documents, "doc_id", labels, "doc_id").select("doc_id", "lang", "source")
 
 
+def dq_audit_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The log table after two runs committed to it."""
+    audit = trial_names().schema("audit")
+    create_schema(spark, audit, new_path(spark, "audit"))
+    log = f"{audit}.quality_log"
+    for layer in ("bronze", "silver"):
+        runner = QualityRunner(spark, layer, **RUN, log_table=log)
+        row_count_checks(spark, folder, runner)
+        value_set_checks(spark, folder, runner)
+        runner.commit(raise_on_critical=False)
+    return spark.table(log).select("run_id", "layer", "pipeline_run_id", *CHECK_COLUMNS, "details")
+
+
 def dq_run_summary(spark: SparkSession, folder: str) -> DataFrame:
     return run_summary(report(spark, folder, *ALL_CHECKS))
 
@@ -313,9 +345,19 @@ def dq_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return alerts(report(spark, folder, *ALL_CHECKS)).drop("details")
 
 
+EXPORTS = {
+    "crm/cust_info.csv": exports.customers,
+    "crm/prd_info.csv": exports.products,
+    "crm/sales_details.csv": exports.sales,
+    "erp/CUST_AZ12.csv": exports.demographics,
+    "erp/LOC_A101.csv": exports.locations,
+    "erp/PX_CAT_G1V2.csv": exports.categories,
+}
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
+        layers_end_to_end,
         bronze_csv_scan,
         silver_category_passthrough,
         silver_date_key,
@@ -344,6 +386,7 @@ QUERIES: dict[str, Query] = {
         dq_value_set,
         dq_ref_integrity,
         dq_orphan_rows,
+        dq_audit_log,
         dq_run_summary,
         dq_alerts,
     )
