@@ -6,8 +6,10 @@ Each step is a full load and reads only what earlier steps wrote, so a failed ru
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -126,25 +128,39 @@ def gold_transformations(
 
 
 def load_csv(
-    spark: SparkSession, sources: Iterable[CsvSource], table_format: str = DEFAULT_FORMAT
+    spark: SparkSession,
+    sources: Iterable[CsvSource],
+    table_format: str = DEFAULT_FORMAT,
+    at_once: int = 1,
 ) -> None:
-    """Load each file into its table, unchanged, in the given order."""
-    for source in sources:
+    """Load each file into its table, unchanged: in the given order, or several ``at_once``."""
+
+    def load(source: CsvSource) -> None:
         _prepare(spark, source.table)
         overwrite_table(read_csv(spark, source.path, source.schema), source.table, table_format)
 
+    _each(load, sources, at_once)
+
 
 def transform(
     spark: SparkSession,
     transformations: Iterable[Transformation],
     table_format: str = DEFAULT_FORMAT,
+    at_once: int = 1,
 ) -> None:
-    """Run each query and replace its destination, in the given order."""
-    for step in transformations:
+    """Run each query and replace its destination.
+
+    In the given order, so that one may read what an earlier one wrote; queries that do not read
+    each other's tables may run several ``at_once``.
+    """
+
+    def run(step: Transformation) -> None:
         _prepare(spark, step.destination)
         df = spark.sql(step.query) if isinstance(step.query, str) else step.query(spark)
         overwrite_table(df, step.destination, table_format)
 
+    _each(run, transformations, at_once)
+
 
 def run_all(
     spark: SparkSession,
@@ -156,24 +172,39 @@ def run_all(
     strict_codes: bool = False,
     product_end_column: str = "prd_end_dt",
     gate: Callable[[SparkSession, str], None] | None = None,
+    at_once: int = 6,
 ) -> None:
     """All three layers, below the folder ``location`` if given.
 
-    ``gate(spark, layer)`` runs after each layer and stops the run by raising.
+    The independent tables of a layer load ``at_once``: small ones then use cores that a large one
+    leaves idle. ``gate(spark, layer)`` runs after each layer and stops the run by raising.
     """
     tune(spark)
-    if location:
-        for layer in (BRONZE, SILVER, GOLD):
-            create_schema(spark, names.schema(layer), f"{location.rstrip('/')}/{layer}")
-    load_csv(spark, bronze_sources(landing, names), table_format)
+    for layer in (BRONZE, SILVER, GOLD):
+        folder = f"{location.rstrip('/')}/{layer}" if location else None
+        create_schema(spark, names.schema(layer), folder)
+    load_csv(spark, bronze_sources(landing, names), table_format, at_once)
     _pass(gate, spark, BRONZE)
     cleaned = silver_transformations(names, as_of, strict_codes, product_end_column)
-    transform(spark, cleaned, table_format)
+    transform(spark, cleaned, table_format, at_once)
     _pass(gate, spark, SILVER)
-    transform(spark, gold_transformations(names, product_end_column), table_format)
+    *dimensions, fact = gold_transformations(names, product_end_column)
+    transform(spark, dimensions, table_format, at_once)
+    transform(spark, [fact], table_format)
     _pass(gate, spark, GOLD)
 
 
+def _each(work: Callable[[Any], None], items: Iterable[Any], at_once: int) -> None:
+    """Do ``work`` on each item; a failure is raised once the items under way are done."""
+    if at_once == 1:
+        for item in items:
+            work(item)
+        return
+    with ThreadPoolExecutor(at_once) as pool:
+        for done in [pool.submit(work, item) for item in items]:
+            done.result()
+
+
 def _pass(gate, spark: SparkSession, layer: str) -> None:
     if gate is not None:
         gate(spark, layer)
