@@ -25,7 +25,7 @@ from assay.plans.names import (
     SOURCE_FILES,
     Names,
 )
-from assay.session import tune
+from assay.session import scratch, tune
 from assay.sources import SOURCE_SCHEMAS, create_schema, overwrite_table, read_csv
 from assay.sources.tables import DEFAULT_FORMAT
 
@@ -156,8 +156,9 @@ def transform(
 
     def run(step: Transformation) -> None:
         _prepare(spark, step.destination)
-        df = spark.sql(step.query) if isinstance(step.query, str) else step.query(spark)
-        overwrite_table(df, step.destination, table_format)
+        with scratch(spark):
+            df = spark.sql(step.query) if isinstance(step.query, str) else step.query(spark)
+            overwrite_table(df, step.destination, table_format)
 
     _each(run, transformations, at_once)
 

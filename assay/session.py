@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,7 +27,10 @@ RUNTIME_SETTINGS = {
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+logger = logging.getLogger(__name__)
+
 _local_folder: str | None = None
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -67,10 +74,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     This fixes values that depend on how Spark happened to split the data, cuts the lineage, and
-    survives lost executors. Parquet rather than ``checkpoint()``: later reads prune columns.
+    survives lost executors. Parquet rather than ``checkpoint()``: later reads prune columns. The
+    files stay until removed, by ``scratch`` or by the caller.
     """
     spark = df.sparkSession
     path = new_path(spark, label)
+    inside = _scratch.get()
+    if inside is not None:
+        inside.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -78,3 +89,25 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 def new_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing uses yet."""
     return f"{shared_folder(spark)}/assay-{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove on leaving what ``stage`` wrote inside, once the results are in tables."""
+    paths: list[str] = []
+    token = _scratch.set(paths)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for path in paths:
+            _remove(spark, path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system holds it; a leftover must not fail the run."""
+    try:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    except Exception:
+        logger.warning("could not remove %s", path, exc_info=True)

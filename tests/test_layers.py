@@ -1,13 +1,15 @@
 from collections import Counter
 from datetime import date
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 
-from assay.operators import duplicate_counts
+from assay.operators import duplicate_counts, with_surrogate_key
 from assay.plans import layers
 from assay.plans.names import Names
 from assay.quality import QualityGateError, QualityRunner
+from assay.session import shared_folder
 from assay.sources import SOURCE_SCHEMAS, append_rows, overwrite_table, read_csv
 
 FILES = {
@@ -145,6 +147,27 @@ def test_a_second_run_gives_the_same_tables(loaded, landing):
     assert {name: table(loaded, name) for name in names} == before
 
 
+def test_nothing_staged_is_left_behind(loaded, landing, tmp_path):
+    def staged():
+        return set(Path(shared_folder(loaded)).glob("assay-sorted-*"))
+
+    kept = with_surrogate_key(loaded.table("gold.dim_products"), "n", ["product_key"])
+    before = staged()
+    assert before
+    layers.transform(loaded, layers.gold_transformations(), at_once=1)
+    layers.transform(loaded, layers.gold_transformations()[:2], at_once=2)
+    assert staged() == before
+    assert kept.count() == 3
+
+
+def test_a_failure_among_several_at_once_is_raised(loaded):
+    good = layers.Transformation("gold.one", "SELECT 1 AS one")
+    bad = layers.Transformation("gold.two", "SELECT no_such_column")
+    with pytest.raises(Exception, match="no_such_column"):
+        layers.transform(loaded, [bad, good], at_once=2)
+    assert table(loaded, "gold.one") == Counter([(1,)])
+
+
 def test_lookup_keys_are_unique(loaded):
     for name, key in [("gold.dim_products", "product_number"), ("silver.erp_loc_a101", "CID")]:
         assert duplicate_counts(loaded.table(name), [key]).first().failed == 0
