@@ -21,10 +21,12 @@ from assay.plans.names import (
     DIM_PRODUCTS,
     FACT_SALES,
     GOLD,
+    LOOKUP_KEYS,
     SILVER,
     SOURCE_FILES,
     Names,
 )
+from assay.quality import QualityRunner
 from assay.session import scratch, tune
 from assay.sources import SOURCE_SCHEMAS, create_schema, overwrite_table, read_csv
 from assay.sources.tables import DEFAULT_FORMAT
@@ -195,6 +197,17 @@ def run_all(
     _pass(gate, spark, GOLD)
 
 
+def check_lookup_keys(runner: QualityRunner, names: Names = Names()) -> QualityRunner:
+    """Declare that the tables of the runner's layer hold each lookup key once.
+
+    A second row with the same key would repeat the rows that look it up.
+    """
+    for table, key in LOOKUP_KEYS.get(runner.layer, {}).items():
+        name = names.table(runner.layer, table)
+        runner.check_duplicates(runner.spark.table(name), name, [key])
+    return runner
+
+
 def _each(work: Callable[[Any], None], items: Iterable[Any], at_once: int) -> None:
     """Do ``work`` on each item; a failure is raised once the items under way are done."""
     if at_once == 1:

@@ -22,6 +22,12 @@ DIM_PRODUCTS = "dim_products"
 DIM_CUSTOMERS = "dim_customers"
 FACT_SALES = "fact_sales"
 
+# Table -> the column by which the next layer looks it up.
+LOOKUP_KEYS = {
+    SILVER: {"erp_px_cat_g1v2": "ID", "erp_loc_a101": "CID", "erp_cust_az12": "CID"},
+    GOLD: {DIM_PRODUCTS: "product_number", DIM_CUSTOMERS: "customer_id"},
+}
+
 
 @dataclass(frozen=True)
 class Names:

@@ -5,7 +5,7 @@ from pathlib import Path
 
 import pytest
 
-from assay.operators import duplicate_counts, with_surrogate_key
+from assay.operators import with_surrogate_key
 from assay.plans import layers
 from assay.plans.names import Names
 from assay.quality import QualityGateError, QualityRunner
@@ -168,9 +168,30 @@ def test_a_failure_among_several_at_once_is_raised(loaded):
     assert table(loaded, "gold.one") == Counter([(1,)])
 
 
-def test_lookup_keys_are_unique(loaded):
-    for name, key in [("gold.dim_products", "product_number"), ("silver.erp_loc_a101", "CID")]:
-        assert duplicate_counts(loaded.table(name), [key]).first().failed == 0
+def test_lookup_keys_are_checked(loaded):
+    silver = layers.check_lookup_keys(QualityRunner(loaded, "silver"))
+    gold = layers.check_lookup_keys(QualityRunner(loaded, "gold"))
+    assert [r["status"] for r in silver.results + gold.results] == ["PASSED"] * 5
+    assert layers.check_lookup_keys(QualityRunner(loaded, "bronze")).results == []
+
+    doubled = Names(prefix="doubled_")
+    for name in ("erp_px_cat_g1v2", "erp_loc_a101", "erp_cust_az12"):
+        rows = loaded.table(f"silver.{name}")
+        loaded.sql("CREATE DATABASE IF NOT EXISTS doubled_silver")
+        twice = rows.unionAll(rows) if name == "erp_loc_a101" else rows
+        overwrite_table(twice, doubled.table("silver", name))
+    found = layers.check_lookup_keys(QualityRunner(loaded, "silver"), doubled).results
+    assert [(r["table_name"], r["records_failed"]) for r in found if r["status"] == "FAILED"] == [
+        ("doubled_silver.erp_loc_a101", 3)
+    ]
+
+
+def test_lookups_keep_the_number_of_rows(loaded):
+    counts = {name: loaded.table(name).count() for name in (
+        "silver.crm_cust_info", "gold.dim_customers", "silver.crm_sales_details",
+        "gold.fact_sales",
+    )}
+    assert list(counts.values()) == [4, 4, 5, 5]
 
 
 def test_a_gate_stops_the_run(loaded, landing):
