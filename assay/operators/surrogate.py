@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from assay.operators.ties import row_hash
 from assay.session import stage
 
 # Fixed value of Spark: monotonically_increasing_id() holds the row's position in its partition in
@@ -20,15 +21,16 @@ def with_surrogate_key(
     """Put a column ``key`` in front: 1, 2, 3, ... over the whole table in the given order.
 
     Equals ``row_number()`` over an unpartitioned window, but all tasks take part: a range-sorted
-    write, then one offset per sorted partition. The row's source partition ends the sort order, so
-    that rows equal in all other columns can still go to different tasks; it is the same whenever a
-    task is retried. Writing the sorted rows fixes their positions for the two later reads.
+    write, then one offset per sorted partition. Rows level on the tie-breakers follow their hash.
+    The row's source partition ends the sort order, so that equal rows can still go to different
+    tasks; it is the same whenever a task is retried. Writing the sorted rows fixes their positions
+    for the two later reads.
     """
     order = [F.col(c).asc_nulls_first() for c in (*order_by, *tie_breakers)]
     numbered = (
-        df.withColumn("_source", F.spark_partition_id())
-        .orderBy(*order, "_source")
-        .drop("_source")
+        df.withColumns({"_hash": row_hash(df), "_source": F.spark_partition_id()})
+        .orderBy(*order, "_hash", "_source")
+        .drop("_hash", "_source")
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_position", F.monotonically_increasing_id().bitwiseAND(2**POSITION_BITS - 1))
     )

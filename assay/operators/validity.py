@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assay.operators import hot_keys
+from assay.operators.ties import row_hash
 from assay.session import stage
 
 
@@ -24,26 +25,30 @@ def with_validity_end(
     """Add the date column ``end``: the next version's start minus one day, NULL for the last.
 
     Versions of one key follow each other by ``start`` (a date, NULL first), then by
-    ``tie_breakers``. Ordinary keys take one window, a single shuffle. A key too large for one
+    ``tie_breakers``, then by their hash. Ordinary keys take one window, a single shuffle. A key too large for one
     task takes the way of ``_end_by_calendar``; the result is the same.
     """
     if not isinstance(df.schema[start].dataType, T.DateType):
         raise TypeError(f"{start} must be a date")
     hot = hot_keys.find_hot_keys(df, keys, rows_per_task, sample)
+    rows = df.withColumn("_hash", row_hash(df))
+    ranks = [*tie_breakers, "_hash"]
     if hot is None:
-        return _end_by_window(df, keys, start, end, tie_breakers)
-    large, ordinary = hot_keys.split_by_keys(df, hot, keys)
-    return _end_by_window(ordinary, keys, start, end, tie_breakers).unionByName(
-        _end_by_calendar(large, keys, start, end, tie_breakers)
-    )
+        ended = _end_by_window(rows, keys, start, end, ranks)
+    else:
+        large, ordinary = hot_keys.split_by_keys(rows, hot, keys)
+        ended = _end_by_window(ordinary, keys, start, end, ranks).unionByName(
+            _end_by_calendar(large, keys, start, end, ranks)
+        )
+    return ended.drop("_hash")
 
 
-def _end_by_window(df, keys, start, end, tie_breakers) -> DataFrame:
-    in_order = Window.partitionBy(*keys).orderBy(start, *tie_breakers)
+def _end_by_window(df, keys, start, end, ranks) -> DataFrame:
+    in_order = Window.partitionBy(*keys).orderBy(start, *ranks)
     return df.withColumn(end, F.date_sub(F.lead(start).over(in_order), 1))
 
 
-def _end_by_calendar(df, keys, start, end, tie_breakers) -> DataFrame:
+def _end_by_calendar(df, keys, start, end, ranks) -> DataFrame:
     """The same without bringing a key's rows together.
 
     All versions of a key that start on one day, but the last of them, end the day before it. Only
@@ -53,7 +58,7 @@ def _end_by_calendar(df, keys, start, end, tie_breakers) -> DataFrame:
     """
     # Equal rows must still be told apart, and alike in both uses below: number them and write.
     rows = stage(df.withColumn("_row", F.monotonically_increasing_id()), "versions")
-    rank = F.struct(*tie_breakers, "_row")
+    rank = F.struct(*ranks, "_row")
     days = rows.groupBy(*keys, start).agg(F.max(rank).alias("_last"))
     days = days.withColumn("_next", F.lead(start).over(Window.partitionBy(*keys).orderBy(start)))
     each_day = [*keys, start]

@@ -30,7 +30,7 @@ def dim_products(
         described,
         "product_key",
         order_by=["product_number", "start_date"],
-        tie_breakers=_others(described, "product_number", "start_date", first="product_id"),
+        tie_breakers=["product_id"],
     )
 
 
@@ -58,7 +58,7 @@ def dim_customers(
         described,
         "customer_key",
         order_by=["customer_number", "create_date"],
-        tie_breakers=_others(described, "customer_number", "create_date", first="customer_id"),
+        tie_breakers=["customer_id"],
     )
 
 
@@ -79,8 +79,3 @@ def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> D
         F.col("sls_quantity").alias("quantity"),
         F.col("sls_price").alias("price"),
     )
-
-
-def _others(df: DataFrame, *ordered: str, first: str) -> list[str]:
-    """All columns that do not already order the rows, ``first`` leading."""
-    return [first, *(c for c in df.columns if c not in {first, *ordered})]

@@ -80,6 +80,20 @@ def test_validity_of_single_and_no_rows(spark, limits):
     assert none.count() == 0
 
 
+def test_level_rows_are_ordered_alike_in_every_run(spark, many_partitions):
+    """Rows that no given column tells apart, read in different orders, by both ways."""
+    day = date(2020, 1, 1)
+    rows = [("a", day, 1, text) for text in ("p", "q", None, "r")] + [("a", day, None, "p")]
+    results = []
+    for shift, limits in ((0, {}), (2, {}), (3, ALL_HOT), (1, ALL_HOT)):
+        df = spark.createDataFrame(rows[shift:] + rows[:shift], VERSIONS).repartition(3)
+        results.append(rows_of(with_validity_end(df, ["key"], "start", "end", [], **limits)))
+        keyed = with_surrogate_key(df, "number", ["key"])
+        results.append(rows_of(keyed))
+    assert results[0] == results[2] == results[4] == results[6]
+    assert results[1] == results[3] == results[5] == results[7]
+
+
 def test_validity_needs_dates(spark):
     df = spark.createDataFrame([("a", 1)], "key string, start int")
     with pytest.raises(TypeError):
