@@ -26,6 +26,9 @@ def left_lookup(
     keys hot in ``right`` are joined apart, over ``SPREAD`` salted groups; since such a key has a
     match, an inner join is enough there.
     """
+    shared = set(left.columns) & set(right.columns)
+    if shared:
+        raise ValueError(f"both sides have columns {sorted(shared)}")
     right = right.where(F.col(right_key).isNotNull())
     hot = hot_keys.find_hot_keys(right, [right_key], rows_per_task, sample)
     if hot is None:

@@ -17,6 +17,9 @@ from assay.sources.tables import append_rows
 
 logger = logging.getLogger(__name__)
 
+# Fixed value: the pipeline run of checks that no job runs.
+MANUAL = "manual"
+
 AlertSink = Callable[[DataFrame, Sequence[str]], None]
 
 
@@ -37,7 +40,7 @@ class QualityRunner:
         layer: str,
         table_name: str | None = None,
         run_id: str | None = None,
-        pipeline_run_id: str = "manual",
+        pipeline_run_id: str | None = None,
         alert_emails: Sequence[str] = (),
         alert_sink: AlertSink | None = None,
         log_table: str = audit_log.LOG_TABLE,
@@ -48,7 +51,7 @@ class QualityRunner:
         self.table_name = table_name
         self.run_id = run_id or str(uuid.uuid4())
         self.run_timestamp = run_timestamp or datetime.now(timezone.utc)
-        self.pipeline_run_id = pipeline_run_id
+        self.pipeline_run_id = pipeline_run_id or MANUAL
         self.alert_emails = list(alert_emails or ())
         self.alert_sink = alert_sink
         self.log_table = log_table

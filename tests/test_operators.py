@@ -206,6 +206,12 @@ def test_left_lookup(spark, many_partitions, settings, limits, broadcast):
     assert rows_of(found) == joined_by_hand(left, right)
 
 
+def test_lookup_sides_must_not_share_names(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    with pytest.raises(ValueError, match="'b'"):
+        left_lookup(df, df.withColumnRenamed("a", "c"), "a", "c")
+
+
 def test_skewed_lookups_are_split_at_run_time(spark, settings):
     """Two lookups on one key that a third of the rows share: both joins must be split."""
     settings(
