@@ -8,6 +8,7 @@ ANSI mode: one bad row must not stop a run over billions of good ones.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -72,11 +73,8 @@ def code_label(
     """The label of a trimmed, by default upper-cased code; ``default`` for all others and NULL."""
     tidy = F.upper(F.trim(code)) if fold_case else F.trim(code)
     other = default if isinstance(default, Column) else F.lit(default)
-    codes_by_label: dict[str, list[str]] = {}
-    for known, label in labels.items():
-        codes_by_label.setdefault(label, []).append(known)
-    matched = (F.when(tidy.isin(codes), F.lit(label)) for label, codes in codes_by_label.items())
-    return F.coalesce(*matched, other)
+    pairs = (F.lit(text) for text in chain.from_iterable(labels.items()))
+    return F.coalesce(F.element_at(F.create_map(*pairs), tidy), other)
 
 
 def not_after(day: Column, as_of: Column) -> Column:

@@ -15,7 +15,8 @@ _CHECK_SQL = {
     "nulls": """
         SELECT 'crm_sales_details' AS table_name, 'null_check_' || name AS check_name,
           'completeness' AS check_type, severity, n AS records_total, missing AS records_failed,
-          missing <= n * threshold AS passed, CAST(NULL AS VARCHAR) AS details
+          missing <= n * threshold AS passed, CAST(NULL AS VARCHAR) AS details,
+          name AS column_name, CAST(threshold AS DOUBLE) AS threshold
         FROM (SELECT count(*) AS n, count(*) - count(sls_ord_num) AS a,
             count(*) - count(sls_order_dt) AS b, count(*) - count(sls_cust_id) AS c,
             count(*) - count(sls_price) AS d FROM silver_sales),
@@ -171,7 +172,9 @@ ORACLE: dict[str, str] = {
         FROM customer LEFT JOIN supplier ON c_custkey = s_suppkey""",
     "gold_fact_sales": select_from("fact_sales"),
     "dq_row_count": _checks(f"{_COLUMNS}, details", "row_count"),
-    "dq_nulls": _checks(_COLUMNS, "nulls"),
+    "dq_nulls": _checks(
+        f"{_COLUMNS}, column_name, CAST(failure_rate AS DOUBLE) AS null_rate, threshold", "nulls"
+    ),
     "dq_duplicates": _checks(f"{_COLUMNS}, details", "duplicates"),
     "dq_value_set": _checks(f"{_COLUMNS}, details", "value_set"),
     "dq_ref_integrity": _checks(f"{_COLUMNS}, details", "references"),

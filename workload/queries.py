@@ -304,7 +304,15 @@ def dq_row_count(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_nulls(spark: SparkSession, folder: str) -> DataFrame:
-    return report(spark, folder, null_checks).select(*CHECK_COLUMNS)
+    def detail(name: str):
+        return F.get_json_object("details", f"$.{name}")
+
+    return report(spark, folder, null_checks).select(
+        *CHECK_COLUMNS,
+        detail("column").alias("column_name"),
+        detail("null_rate").cast("double").alias("null_rate"),
+        detail("threshold").cast("double").alias("threshold"),
+    )
 
 
 def dq_duplicates(spark: SparkSession, folder: str) -> DataFrame:
