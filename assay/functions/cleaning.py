@@ -42,9 +42,11 @@ def _div(number: Column, divisor: int) -> Column:
 def reconciled_amount(amount: Column, quantity: Column, unit_price: Column) -> Column:
     """quantity x |unit price| where it is known, else a positive amount as it stands, else NULL.
 
-    An amount that already equals the product needs no case of its own.
+    An amount that already equals the product needs no case of its own. The sign is turned by
+    ``try_subtract`` because ``abs`` fails on the smallest integer.
     """
-    product = F.try_multiply(quantity, F.abs(unit_price))
+    size = F.when(unit_price < 0, F.try_subtract(F.lit(0), unit_price)).otherwise(unit_price)
+    product = F.try_multiply(quantity, size)
     return F.coalesce(product, F.when(amount > 0, amount))
 
 

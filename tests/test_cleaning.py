@@ -94,7 +94,7 @@ def test_amounts_and_prices_against_a_direct_reading(spark):
 
 def test_overflow_becomes_null_instead_of_failing(spark):
     top = 2**31 - 1
-    rows = [(top, 7, top), (1, top, None)]
+    rows = [(top, 7, top), (1, top, None), (1, 5, -top - 1)]
     found = values(
         spark,
         rows,
@@ -104,6 +104,7 @@ def test_overflow_becomes_null_instead_of_failing(spark):
     )
     assert found[0][0] == 7
     assert found[1] == (top, None)  # more than ten digits
+    assert found[2] == (5, Decimal(5))
 
 
 def test_types_of_the_sales_columns(spark):
