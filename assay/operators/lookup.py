@@ -24,7 +24,8 @@ def left_lookup(
     the latest, is below ``spark.sql.autoBroadcastJoinThreshold``. A key that is hot in ``left``
     (NULL too) is split by adaptive execution. It cannot split the right side of a left join, so
     keys hot in ``right`` are joined apart, over ``SPREAD`` salted groups; since such a key has a
-    match, an inner join is enough there.
+    match, an inner join is enough there. The search for them reads the key of ``right`` once more,
+    so ``right`` is best a table or little work away from one.
     """
     shared = set(left.columns) & set(right.columns)
     if shared:

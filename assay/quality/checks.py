@@ -145,18 +145,26 @@ def referential_integrity(
 
 def outcomes(checks: Sequence[Check]) -> DataFrame:
     """One row per check: its log entry, and ``check_number``, its place in ``checks``."""
-    by_scan: dict[int, list[tuple[int, Check]]] = {}
+    scans: list[list[tuple[int, Check]]] = []
     parts: list[DataFrame] = []
     for number, check in enumerate(checks):
         if isinstance(check.counted, Column):
-            by_scan.setdefault(id(check.df), []).append((number, check))
+            scan = next((s for s in scans if _same_rows(s[0][1].df, check.df)), None)
+            if scan is None:
+                scans.append(scan := [])
+            scan.append((number, check))
         else:
             entry = check.outcome(number, F.col("total"), F.col("failed"))
             parts.append(check.counted().select(F.inline(F.array(entry))))
-    parts.extend(_scan_once(numbered) for numbered in by_scan.values())
+    parts.extend(_scan_once(numbered) for numbered in scans)
     return reduce(DataFrame.unionByName, parts)
 
 
+def _same_rows(one: DataFrame, other: DataFrame) -> bool:
+    """Whether both are the same query, such as one table read twice."""
+    return one is other or (one.columns == other.columns and one.sameSemantics(other))
+
+
 def _scan_once(numbered: Sequence[tuple[int, Check]]) -> DataFrame:
     df = numbered[0][1].df
     counts = [check.counted.alias(f"failed_{number}") for number, check in numbered]

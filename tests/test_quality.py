@@ -113,6 +113,23 @@ def test_checks_on_one_dataframe_share_a_scan(spark, people, capsys):
     assert names == ["row_count_min", "null_check_id", "null_check_name", "value_set_sex"]
 
 
+def test_one_table_read_twice_is_scanned_once(spark, people, capsys):
+    people.write.mode("overwrite").saveAsTable("default.people")
+    runner = QualityRunner(spark, "bronze")
+    runner.check_row_count(spark.table("default.people"), "people", 1)
+    runner.check_nulls(spark.table("default.people"), "people", ["id"])
+    others = spark.table("default.people").where("id IS NULL")
+    runner.check_nulls(others, "others", ["id"], severity="LOW")
+    renamed = spark.table("default.people").withColumnRenamed("id", "number")
+    runner.check_nulls(renamed, "renamed", ["number"])
+    capsys.readouterr()
+    runner.report().explain()
+    assert capsys.readouterr().out.count("FileScan") == 3
+    assert [(r["records_total"], r["records_failed"]) for r in runner.results] == [
+        (5, 0), (5, 2), (2, 2), (5, 2),
+    ]
+
+
 def test_results_keep_the_order_of_declaration(spark, people):
     runner = (
         QualityRunner(spark, "bronze", table_name="people")
