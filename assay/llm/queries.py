@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import simhash
+from assay.llm import decontaminate, langid, packing, quality, simhash, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,29 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return topk.top_k(vectors.where("vec_id % 50 = 0"), vectors, k=5)
+
+
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents")).select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
 def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_copies(table(spark, folder, "documents")).select(
         "doc_id",
@@ -24,8 +47,73 @@ def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(table(spark, folder, "documents"))
+
+
+def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.assess(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_exact_top_k": op1_exact_top_k,
+    "op2_packing": op2_packing,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_language_id": op9_language_id,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
-ORACLE: dict[str, str] = {}
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLE: dict[str, str] = {
+    "op1_exact_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM v q JOIN v c ON c.vec_id <> q.vec_id
+            WHERE q.vec_id % 50 = 0
+        )
+        SELECT query_id,
+               row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+               vec_id, score
+        FROM scored QUALIFY rank <= 5
+    """,
+    "op6_benchmark_decontamination": f"""
+        WITH d AS (
+            SELECT doc_id, coalesce(
+                regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '{_WORD}'), []) AS w
+            FROM documents
+        ), b AS (
+            SELECT item_id,
+                regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '{_WORD}') AS w
+            FROM benchmark
+        ), windows AS (
+            SELECT DISTINCT item_id, least(len(w), 10) AS size, w[s : s + least(len(w), 10) - 1] AS t
+            FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS s
+                  FROM b WHERE len(w) > 0)
+        ), sizes AS (SELECT DISTINCT size FROM windows
+        ), spans AS (
+            SELECT doc_id, size, s, w[s : s + size - 1] AS t
+            FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS s
+                  FROM d, sizes WHERE len(w) >= size)
+        ), found AS (
+            SELECT doc_id, s, size, item_id FROM spans JOIN windows USING (size, t)
+        ), hits AS (
+            SELECT doc_id, count(DISTINCT p) AS n
+            FROM (SELECT doc_id, unnest(range(s, s + size)) AS p FROM found) GROUP BY doc_id
+        ), items AS (
+            SELECT doc_id, count(*) AS n, string_agg(i, ',' ORDER BY i) AS ids
+            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM found) GROUP BY doc_id
+        )
+        SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(hits.n, 0)::BIGINT AS n_hit,
+               coalesce(items.n, 0)::BIGINT AS n_items, sha256(coalesce(items.ids, '')) AS items_sha256,
+               coalesce(hits.n, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
+}
