@@ -13,8 +13,9 @@ not padded, which adds a few transitions looked up by position.
 from __future__ import annotations
 
 import os
+import re
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +29,15 @@ from assay.llm.common import prepare, records
 
 WINDOW = 4096
 END_ID = 2
-SENTENCE_CUT, OTHER_CUT, PER_SEQUENCE = 8, 64, 1
+SENTENCE_CUT, OTHER_CUT, PER_SEQUENCE = 4, 12, 16
 # Without a sentence end for so long, other places may be cut.
-LONGEST_GAP = 256
+LONGEST_GAP = 48
 UNPADDED = (2048, 1024, 512)  # lengths of windows looked up as powers of two
 BUFFER = 1 << 19  # ids planned at once
-CACHED_WORDS = 200_000
+CACHED_WORDS = 400_000
+TOGETHER = 16  # words encoded as one text
+# Of the sentence ends within so many ids, one is a place to cut.
+GRAIN = 8
 
 SCHEMA = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, "
@@ -45,39 +49,82 @@ def default_tokenizer() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def _latin(keep: Callable[[str], bool]) -> bytes:
+    return bytes(c for c in range(256) if keep(chr(c)))
+
+
+# Lower case and one kind of separator within Latin-1, where both change characters one by one.
+_LATIN_LOWER = bytes(
+    32 if c == 10 else ord(low) if ord(low := chr(c).lower()) < 256 else c for c in range(256)
+)
+_WORD = _latin(lambda c: c.isalpha() or c.isdigit())
+_PLAIN = _WORD + b" .,"
+_DOUBLED = (b"..", b".,", b",.", b",,")
+_JOINED = re.compile(rb"[^ " + re.escape(_WORD) + rb"][.,](?: |$)")
+
+
 class Encoder:
     """Token ids of texts. The tokenizer splits at white space, so ids are cached by word.
 
     Words are what lies between spaces and line ends; other white space stays inside a word and is
-    left to the tokenizer.
+    left to the tokenizer. It also lower-cases, and parts letters and digits from other signs: a word
+    of a Latin-1 text is looked up in lower case, and without the comma or full stop behind it unless
+    that belongs to a run of signs.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {"": b""}
+        self.cache: dict[bytes | str, bytes] = {"": b"", b"": b""}
+        ends = (".", "!", "?", "\u3002", "\uff01", "\uff1f")
         size = self.tokenizer.get_vocab_size()
-        ends = [(k, self.tokenizer.id_to_token(k) or "") for k in range(size)]
-        sentence = {".", "!", "?", "。", "！", "？"}
-        shown = self.tokenizer.decode
-        self.sentence_end = np.zeros(size, bool)
-        for k, token in ends:
-            bare = token.removesuffix("</w>")
-            if token.endswith("</w>") and (bare[-1:] in sentence or shown([k]).strip()[-1:] in sentence):
-                self.sentence_end[k] = True
+        names = [self.tokenizer.id_to_token(k) or "" for k in range(size)]
+        self.word_end = np.fromiter((x.endswith("</w>") for x in names), bool, size)
+        self.sentence_end = np.fromiter(
+            (x.removesuffix("</w>").endswith(ends) for x in names), bool, size
+        )
+
+    @staticmethod
+    def words(text: str) -> list[bytes] | list[str]:
+        if "<|" in text:  # may hold a special token, which is matched as it stands
+            return text.replace("\n", " ").split(" ")
+        try:
+            raw = text.encode("latin-1").translate(_LATIN_LOWER)
+        except UnicodeEncodeError:
+            return text.replace("\n", " ").split(" ")
+        signs = raw.translate(None, _PLAIN) or any(x in raw for x in _DOUBLED)
+        if not signs or not _JOINED.search(raw):
+            raw = (raw + b" ").replace(b", ", b" , ").replace(b". ", b" . ")
+        return raw.split(b" ")
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list({w for ws in split for w in ws if w not in self.cache})
+        split = list(map(self.words, texts))
+        new = set().union(*split) - self.cache.keys()
         if len(self.cache) + len(new) > CACHED_WORDS:
-            self.cache = {"": b""}
-            new = list({w for ws in split for w in ws} - {""})
-        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        for word, found in zip(new, encoded, strict=True):
-            self.cache[word] = np.array(found.ids, "<u4").tobytes()
+            self.cache = {"": b"", b"": b""}
+            new = set().union(*split) - self.cache.keys()
+        self._learn([w for w in new if isinstance(w, bytes) and w.isalpha()], TOGETHER)
+        self._learn([w for w in new if w not in self.cache], 1)
         get = self.cache.__getitem__
         return [np.frombuffer(b"".join(map(get, ws)), "<u4") for ws in split]
 
+    def _learn(self, new: list[bytes | str], together: int) -> None:
+        """Cache the ids of words, ``together`` of them encoded as one text. Words of letters alone
+        end in their one token that ends a word; where that does not hold they are left out."""
+        plain = [w if isinstance(w, str) else w.decode("latin-1") for w in new]
+        joined = [" ".join(plain[k : k + together]) for k in range(0, len(plain), together)]
+        encoded = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+        if together == 1:
+            for word, found in zip(new, encoded, strict=True):
+                self.cache[word] = np.array(found.ids, "<u4").tobytes()
+            return
+        ids = np.fromiter((k for found in encoded for k in found.ids), "<u4")
+        ends = np.flatnonzero(self.word_end[ids]) + 1
+        if len(ends) == len(new):
+            raw, bounds = ids.tobytes(), [0, *(ends * 4).tolist()]
+            for k, word in enumerate(new):
+                self.cache[word] = raw[bounds[k] : bounds[k + 1]]
+
 
 def plan(
     ends: np.ndarray, sentence_ends: np.ndarray, total: int, final: bool, window: int = WINDOW
@@ -87,6 +134,8 @@ def plan(
     ``ends`` are the ends of documents, ``sentence_ends`` of sentences. The last cut is ``total`` if
     ``final``, and otherwise the best one within the last window.
     """
+    last = np.flatnonzero(np.diff(sentence_ends // GRAIN, append=-1))
+    sentence_ends = sentence_ends[last]
     cuts = np.union1d(np.concatenate([ends, sentence_ends, [total]]), [0]).astype(np.int64)
     gaps = np.diff(cuts)
     wide = np.flatnonzero(gaps > LONGEST_GAP)
