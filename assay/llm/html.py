@@ -1,0 +1,243 @@
+"""Main text of web pages: page structure, then a suffix array over each host's token streams.
+
+Parsing leaves the blocks of the article, or of the body where a page marks no article. What repeats
+between pages of a host is boilerplate: the token streams of its pages are laid end to end, suffixes
+are sorted by prefix doubling to the depth of a long substring, and neighbours that agree to that
+depth on distinct pages cover the words they start. Blocks that are mostly covered go.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+from html import unescape
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from assay.llm.common import prepare, records
+
+# A host's pages are compared in shards of about this many bytes of html.
+SHARD_BYTES = 1 << 20
+DEPTH = 8  # tokens of a long substring, a power of two
+COVERED = 0.8  # share of a block's tokens from which it counts as boilerplate
+# In a marked article, only what stands on this share of the pages, and on at least so many.
+ARTICLE_SHARE, ARTICLE_PAGES = 0.5, 4
+LINKED = 0.6  # share of link text from which a block outside a marked article is a menu
+
+# Elements by their role in a page.
+BLOCKS = set(
+    "address article aside blockquote body br caption center dd details dialog div dl dt fieldset "
+    "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol "
+    "option p pre section select summary table tbody tfoot thead title tr ul".split()
+)
+SPACED = {"td", "th"}
+DROPPED = set(
+    "aside audio button canvas datalist dialog footer form head iframe input label map menu nav "
+    "noscript object option select svg template textarea title video".split()
+)
+VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+RAW = "script|style|noscript|template|textarea|title|svg|iframe"
+ROLES = set("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
+# Words in class or id, apart from case and the signs between them.
+NAMES = set(
+    "ad ads adbox advert adverts advertisement advertising adslot banner breadcrumb breadcrumbs comment "
+    "comments commentlist consent cookie cookies copyright disclaimer disqus footer gdpr login masthead "
+    "menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination "
+    "popup promo promoted promotion related replies reply respond search share sharing sidebar signup "
+    "skip social sponsor sponsored sponsors subscribe subscription toolbar topbar widget widgets".split()
+)
+# These name parts of an article as well as of a page, and count only outside one.
+OUTER_NAMES = {"header", "head", "top", "bottom", "side"}
+
+_TOKEN = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*(?<!/)>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<end>/?)(?P<name>[a-z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^\"'>])*+)>"
+    r"|</?[a-z][^<>]*(?:>|\Z)|<[!?/][^>]*(?:>|\Z)",
+    re.IGNORECASE | re.DOTALL,
+)
+_ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+)))?")
+_NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
+
+
+def _is_dropped(name: str, rest: str, in_article: bool) -> bool:
+    """Whether an element is no part of the main text."""
+    if name in DROPPED or (name == "header" and not in_article):
+        return True
+    if not rest.strip() or name in ("html", "body", "main"):
+        return False
+    values = {k.lower(): unescape(a or b or c) for k, a, b, c in _ATTRIBUTE.findall(rest)}
+    if "hidden" in values or values.get("aria-hidden", "").lower() == "true":
+        return True
+    if values.get("role", "").lower() in ROLES or _HIDDEN.search(values.get("style", "").lower()):
+        return True
+    words = _NAME_WORD.findall(f"{values.get('class', '')} {values.get('id', '')}")
+    found = {w.lower() for w in words}
+    return bool(found & NAMES) or (not in_article and bool(found & OUTER_NAMES))
+
+
+def blocks(page: str) -> tuple[list[str], bool]:
+    """The blocks of a page's main text, and whether the page marks it as an article."""
+    # (name, dropped, in article, in link) of each open element
+    stack: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]
+    found: list[tuple[str, bool, int]] = []  # text, in article, characters in links
+    parts: list[str] = []
+    linked = 0
+    inside = False  # whether the current block is in an article
+
+    def close() -> None:
+        nonlocal linked
+        text = " ".join("".join(parts).split())
+        if text:
+            found.append((text, inside, linked))
+        parts.clear()
+        linked = 0
+
+    def add(text: str) -> None:
+        nonlocal linked, inside
+        _, dropped, in_article, in_link = stack[-1]
+        if text and not dropped:
+            text = unescape(text)
+            parts.append(text)
+            inside = in_article
+            linked += len(text.strip()) if in_link else 0
+
+    at = 0
+    for token in _TOKEN.finditer(page):
+        add(page[at : token.start()])
+        at = token.end()
+        name = (token["name"] or "").lower()
+        if not name:
+            continue
+        if name in BLOCKS:
+            close()
+        elif name in SPACED:
+            add(" ")
+        if token["end"]:
+            for depth in range(len(stack) - 1, 0, -1):
+                if stack[depth][0] == name:
+                    del stack[depth:]
+                    break
+            continue
+        if name in VOID or (token["rest"] or "").rstrip().endswith("/"):
+            continue
+        if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack[-1][0] == name:
+            stack.pop()
+        _, dropped, in_article, in_link = stack[-1]
+        marks = name in ("article", "main")
+        drops = _is_dropped(name, token["rest"] or "", in_article or marks)
+        # an article inside something left open is an article all the same
+        open_comment = dropped and in_article
+        dropped = drops or (dropped and (not marks or open_comment))
+        stack.append((name, dropped, in_article or marks, in_link or name == "a"))
+    add(page[at:])
+    close()
+    article = [text for text, marked, _ in found if marked]
+    if article:
+        return article, True
+    return [text for text, _, links in found if links < LINKED * len(text)], False
+
+
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in records(batches, 128):
+        made = [blocks(x or "") for x in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0),
+                batch.column(1),
+                batch.column(3),
+                pa.array([b for b, _ in made], pa.list_(pa.string())),
+                pa.array([m for _, m in made], pa.bool_()),
+            ],
+            ["page_id", "url", "shard", "blocks", "marked"],
+        )
+
+
+def repeats(tokens: np.ndarray, pages: np.ndarray) -> np.ndarray:
+    """For each token the most pages on which a substring of ``DEPTH`` tokens over it stands.
+
+    ``pages`` has the page of each token, in order. The suffixes are ranked by their first 1, 2, 4 and
+    8 tokens; equal ranks are neighbours in the suffix array that agree to that depth. Substrings do
+    not cross pages.
+    """
+    count = len(tokens)
+    on = np.zeros(count, np.int64)
+    if count < DEPTH:
+        return on
+    rank, width = np.unique(tokens, return_inverse=True)[1].astype(np.int64), 1
+    while width < DEPTH:
+        following = np.full(count, -1, np.int64)
+        following[:-width] = rank[width:]
+        rank = np.unique(rank * (count + 1) + following + 1, return_inverse=True)[1].astype(np.int64)
+        width *= 2
+    starts = np.flatnonzero(pages[: count - DEPTH + 1] == pages[DEPTH - 1 :])
+    seen = np.unique(np.stack([rank[starts], pages[starts]], axis=1), axis=0)
+    distinct = np.bincount(seen[:, 0], minlength=count)[rank[starts]]
+    for k in range(DEPTH):
+        np.maximum.at(on, starts + k, distinct)
+    return on
+
+
+def main_texts(shard: list[tuple[list[str], bool]]) -> list[str]:
+    """The text of each page of a shard of one host, without the blocks that repeat between pages."""
+    words = [[b.split(" ") for b in page] for page, _ in shard]
+    numbers: dict[str, int] = {}
+    stream = [numbers.setdefault(w, len(numbers)) for page in words for b in page for w in b]
+    sizes = [sum(map(len, page)) for page in words]
+    on = repeats(np.array(stream, np.int64), np.repeat(np.arange(len(shard)), sizes))
+    texts, at = [], 0
+    for page, (lines, marked) in zip(words, shard, strict=True):
+        least = max(ARTICLE_PAGES, ARTICLE_SHARE * len(shard)) if marked else 2
+        kept, total = [], 0
+        begin = at
+        for line, block in zip(lines, page, strict=True):
+            covered = np.mean(on[at : at + len(block)] >= least)
+            at += len(block)
+            if covered < COVERED:
+                kept.append(line)
+                total += len(block)
+        # a text that is mostly repeated is a copy of the article, not what frames it
+        texts.append("\n".join(kept if 2 * total >= at - begin else lines))
+    return texts
+
+
+def _cleaned(shard: pd.DataFrame) -> pd.DataFrame:
+    pages = [(list(b), m) for b, m in zip(shard["blocks"], shard["marked"], strict=True)]
+    return pd.DataFrame(
+        {"page_id": shard["page_id"], "url": shard["url"], "text": main_texts(pages)}
+    )
+
+
+def extract(
+    pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html"
+) -> DataFrame:
+    """Rows ``(page_id, url, text, n_chars)``, one for each row of ``pages``.
+
+    Blocks are joined by a line end in page order; a page without main text, a null or an empty one
+    gives an empty text. A page whose url is null or has no host belongs to the host "". Broken and
+    unclosed markup is read as browsers do, an unfinished tag at the end is dropped. Repeated rows give
+    repeated rows, other columns are not read. A host with many pages is compared shard by shard.
+    """
+    prepare(pages.sparkSession)
+    host = F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][\w+.-]*://([^/?#]*)", 1)), F.lit(""))
+    rows = pages.select(
+        F.col(key).cast("long").alias("page_id"),
+        F.col(url).alias("url"),
+        F.coalesce(html, F.lit("")).alias("html"),
+        host.alias("host"),
+    )
+    sizes = rows.groupBy("host").agg(F.sum(F.octet_length("html")).alias("bytes"))
+    shards = F.ceil(F.col("bytes") / F.lit(float(SHARD_BYTES)))
+    number = F.pmod(F.xxhash64("page_id", "url"), F.greatest(shards, F.lit(1)))
+    placed = rows.join(sizes, "host").select(
+        "page_id", "url", "html", F.xxhash64("host", number).alias("shard")
+    )
+    parsed = placed.mapInArrow(
+        _parsed, "page_id long, url string, shard long, blocks array<string>, marked boolean"
+    )
+    texts = parsed.groupBy("shard").applyInPandas(_cleaned, "page_id long, url string, text string")
+    return texts.withColumn("n_chars", F.length("text").cast("long"))

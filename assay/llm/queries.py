@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import decontaminate, langid, packing, quality, simhash, topk
+from assay.llm import decontaminate, html, langid, packing, quality, simhash, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,10 @@ def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     )
 
 
+def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(table(spark, folder, "pages"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_copies(table(spark, folder, "documents")).select(
         "doc_id",
@@ -59,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_packing": op2_packing,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_html_extraction": op7_html_extraction,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_language_id": op9_language_id,
     "op10_quality_classifier": op10_quality_classifier,
