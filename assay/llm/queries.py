@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import decontaminate, html, langid, packing, quality, simhash, topk
+from assay.llm import (
+    decontaminate,
+    html,
+    langid,
+    licences,
+    lm,
+    packing,
+    quality,
+    simhash,
+    topk,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +43,16 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.held_out_scores(table(spark, folder, "documents")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(table(spark, folder, "documents"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
@@ -62,6 +82,8 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_packing": op2_packing,
+    "op3_lm_scoring": op3_lm_scoring,
+    "op5_license_scan": op5_license_scan,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_html_extraction": op7_html_extraction,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
