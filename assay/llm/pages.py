@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assay.llm.common import prepare, records
+from assay.session import stage
 
 # A host's pages are compared in shards of about this many bytes of html.
 SHARD_BYTES = 1 << 20
@@ -230,10 +231,13 @@ def extract(
         F.coalesce(html, F.lit("")).alias("html"),
         host.alias("host"),
     )
-    sizes = rows.groupBy("host").agg(F.sum(F.octet_length("html")).alias("bytes"))
-    shards = F.ceil(F.col("bytes") / F.lit(float(SHARD_BYTES)))
+    size = F.sum(F.octet_length("html"))
+    large = rows.groupBy("host").agg(size.alias("bytes")).where(F.col("bytes") > SHARD_BYTES)
+    # written first, so that its size is known: Spark broadcasts it only if it is small
+    large = stage(large, "hosts")
+    shards = F.ceil(F.coalesce("bytes", F.lit(0)) / F.lit(float(SHARD_BYTES)))
     number = F.pmod(F.xxhash64("page_id", "url"), F.greatest(shards, F.lit(1)))
-    placed = rows.join(sizes, "host").select(
+    placed = rows.join(large, "host", "left").select(
         "page_id", "url", "html", F.xxhash64("host", number).alias("shard")
     )
     parsed = placed.mapInArrow(

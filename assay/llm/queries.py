@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from assay.llm import (
     decontaminate,
-    html,
     langid,
     licences,
     lm,
     packing,
+    pages,
     quality,
     simhash,
+    substring,
     topk,
 )
 
@@ -49,6 +50,10 @@ def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring.repeated_passages(table(spark, folder, "documents")).drop("text_hash")
+
+
 def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licences.scan(table(spark, folder, "documents"))
 
@@ -60,7 +65,7 @@ def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 
 def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
-    return html.extract(table(spark, folder, "pages"))
+    return pages.extract(table(spark, folder, "pages"))
 
 
 def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -83,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_packing": op2_packing,
     "op3_lm_scoring": op3_lm_scoring,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_license_scan": op5_license_scan,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_html_extraction": op7_html_extraction,
