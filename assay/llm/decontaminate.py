@@ -234,4 +234,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, in which no window of the benchmark occurs."""
-    return mark(docs, benchmark).where(F.size("_found.hits") == 0).drop("_found")
+    whole = docs.select(F.struct(*docs.columns).alias("whole"), "text")
+    return mark(whole, benchmark).where(F.size("_found.hits") == 0).select("whole.*")

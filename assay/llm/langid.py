@@ -211,5 +211,6 @@ def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The rows of ``docs``, all columns, with a known language and at least this confidence."""
     held_out = id_class(F.col("doc_id"), SPLIT) == HELD_OUT
     model = train(docs.where(~held_out))
-    kept = docs.withColumn("_p", predicted(docs, model))
-    return kept.where((F.col("_p.lang_pred") != UNKNOWN) & (F.col("_p.score") >= least)).drop("_p")
+    found = docs.select(F.struct(*docs.columns).alias("whole"), predicted(docs, model).alias("found"))
+    sure = (F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= least)
+    return found.where(sure).select("whole.*")

@@ -7,6 +7,9 @@ kept pairs. A token is scored by absolute discounting,
 
     p(w | h) = max(c(h w) - D, 0) / c(h) + (1 - mass(h) / c(h)) (c(w) + 1) / (N + V + 1).
 
+A false membership is an n-gram at a level by chance, in under one of a hundred probes. A pair needs
+two of them in a row, and is dropped if it would be more frequent than either of its words.
+
 The filter is cut into segments by hash; each is built in one task of bounded size. Segments are
 broadcast in rounds of bounded size, so that the filter may grow with the corpus.
 """
@@ -30,11 +33,11 @@ from assay.session import stage
 SPLIT, HELD_OUT = 7, 2
 CUTOFF = 2
 DISCOUNT = 0.75
-HASHES, BITS_PER_ENTRY = 4, 8
+HASHES, BITS_PER_ENTRY = 6, 10
 SEGMENT_ENTRIES = 1 << 20  # entries of a segment, about
-ROUND_BYTES = 128 << 20  # filter bytes broadcast at once
+ROUND_BYTES = 64 << 20  # filter bytes broadcast at once
 # Words counted exactly in memory for the unigram score; rarer ones are joined.
-HEAD_WORDS = 1 << 18
+HEAD_WORDS = 1 << 17
 CACHED_WORDS = 300_000
 END = b""  # no word is empty
 
@@ -255,31 +258,37 @@ def _built(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"segment": [group["segment"].iloc[0]], "packed": [packed]})
 
 
-def _rounds(model: Model, round_bytes: int) -> Iterator[Segments]:
-    """The segments in runs of at most about ``round_bytes``."""
-    sizes = sorted((r.segment, r.size) for r in model.segments.select("segment", F.length("packed").alias("size")).collect())
-    runs: list[list[int]] = [[]]
-    held = 0
-    for segment, size in sizes:
-        if runs[-1] and held + size > round_bytes:
-            runs.append([])
-            held = 0
-        runs[-1].append(segment)
-        held += size
-    for run in runs:
-        first, bits, parts, at = np.full(model.number, -1), np.ones(model.number, np.int64), [], 0
-        if run:
-            between = F.col("segment").between(run[0], run[-1])
-            for row in model.segments.where(between).toLocalIterator():
-                first[row.segment], bits[row.segment] = at, len(row.packed) * 8
-                parts.append(np.frombuffer(row.packed, np.uint8))
-                at += len(row.packed)
-        yield Segments(np.concatenate(parts or [np.zeros(1, np.uint8)]), first, bits)
+def _rounds(model: Model, round_bytes: int) -> list[tuple[int, int, int]]:
+    """Runs of segments (first, last, bytes) of at most about ``round_bytes`` each."""
+    size = F.length("packed").alias("size")
+    runs: list[tuple[int, int, int]] = []
+    for segment, more in sorted(tuple(r) for r in model.segments.select("segment", size).collect()):
+        if runs and runs[-1][2] + more <= round_bytes:
+            runs[-1] = (runs[-1][0], segment, runs[-1][2] + more)
+        else:
+            runs.append((segment, segment, more))
+    return runs or [(0, -1, 0)]
+
+
+def _loaded(model: Model, run: tuple[int, int, int]) -> Segments:
+    """The segments of a run; their size is known and bounded."""
+    low, high, size = run
+    packed, at = np.zeros(max(1, size), np.uint8), 0
+    first, bits = np.full(model.number, -1), np.ones(model.number, np.int64)
+    for row in model.segments.where(F.col("segment").between(low, high)).toLocalIterator():
+        part = np.frombuffer(row.packed, np.uint8)
+        first[row.segment], bits[row.segment] = at, len(part) * 8
+        packed[at : at + len(part)] = part
+        at += len(part)
+    return Segments(packed, first, bits)
 
 
 def log_probabilities(levels: np.ndarray, total: int, distinct: int) -> np.ndarray:
     """log10 p of each token from its four levels."""
     word, past, pair, mass = VALUES[levels]
+    # a pair is kept from CUTOFF on and is no more frequent than its words: else the filter errs
+    pair = np.where(pair >= CUTOFF, np.minimum(pair, np.minimum(word, past)), 0)
+    pair[pair < CUTOFF] = 0
     share = np.divide(np.maximum(pair - DISCOUNT, 0), past, out=np.zeros_like(past), where=past > 0)
     rest = np.divide(mass, past, out=np.zeros_like(past), where=past > 0)
     # counts are quantised: some of the mass always stays with the words alone
@@ -296,9 +305,12 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     """
     spark = docs.sparkSession
     prepare(spark)
-    head = model.counts.orderBy(F.desc("c"), "word").limit(HEAD_WORDS).collect()
-    shared_head = spark.sparkContext.broadcast({bytes(r.word): r.c for r in head})
-    least = len(head) < HEAD_WORDS  # then all words are here, and others are unknown
+    head = model.counts.orderBy(F.desc("c"), "word").limit(HEAD_WORDS).toArrow()
+    complete = head.num_rows < HEAD_WORDS  # then all words are here, and others are unknown
+    shared_head = spark.sparkContext.broadcast(
+        dict(zip(head["word"].to_pylist(), head["c"].to_pylist(), strict=True))
+    )
+    del head
     total, distinct = model.total, model.distinct
     floor = np.log10(1 / (total + distinct + 1))
     rows = docs.select(
@@ -307,11 +319,11 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
         F.coalesce(text, F.lit("")).alias("text"),
         F.lit(None).cast("binary").alias("state"),
     )
-    filters = list(_rounds(model, round_bytes)) if model.number else []
-    for segments in filters[:-1]:
-        shared = spark.sparkContext.broadcast(segments)
+    runs = _rounds(model, round_bytes)
+    for round_ in runs[:-1]:
+        shared = spark.sparkContext.broadcast(_loaded(model, round_))
         rows = stage(rows.mapInArrow(_gather(shared), "row long, key long, text string, state binary"), "levels")
-    shared = spark.sparkContext.broadcast(filters[-1])
+    shared = spark.sparkContext.broadcast(_loaded(model, runs[-1]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
@@ -327,7 +339,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
                 other = Counter(w for w, c in zip(words, counts, strict=True) if c is None)
                 known.append(len(exact))
                 base.append(np.log10(exact + 1).sum() + floor * len(words))
-                rare.append([] if least else [{"word": w, "n": n} for w, n in other.items()])
+                rare.append([] if complete else [{"word": w, "n": n} for w, n in other.items()])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),

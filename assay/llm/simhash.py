@@ -190,17 +190,16 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     document of the group has one.
     """
     copies = near_copies(docs, key, text)
-    kept = copies.where(F.col(key).eqNullSafe(F.col("component"))).select(
-        F.col(key).alias("_kept"), F.col("fp").alias("_kept_fp")
+    kept = copies.where(F.col(key).eqNullSafe(F.col("component"))).select(F.col(key).alias("id"), "fp")
+    counted = stage(kept.groupBy("id", "fp").count(), "kept")
+    whole = docs.select(
+        F.struct(*docs.columns).alias("whole"),
+        F.col(key).alias("own"),
+        fingerprint_of(F.col(text)).alias("own_fp"),
     )
-    counted = stage(kept.groupBy("_kept", "_kept_fp").count(), "kept")
-    one = (
-        docs.withColumn("_fp", fingerprint_of(F.col(text)))
-        .join(
-            counted.drop("count"),
-            F.col(key).eqNullSafe(F.col("_kept")) & (F.col("_fp") == F.col("_kept_fp")),
-        )
-        .drop("_fp", "_kept", "_kept_fp")
-    )
-    repeated = counted.groupBy("_kept").agg(F.sum("count").alias("n")).where("n > 1")
-    return one.dropDuplicates([key]) if repeated.limit(1).count() else one
+    same = F.col("own").eqNullSafe(F.col("id")) & (F.col("own_fp") == F.col("fp"))
+    one = whole.join(counted.drop("count"), same)
+    repeated = counted.groupBy("id").agg(F.sum("count").alias("n")).where("n > 1")
+    if repeated.limit(1).count():
+        one = one.dropDuplicates(["own"])
+    return one.select("whole.*")
