@@ -8,16 +8,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assay.llm import simhash
+from assay.llm import decontaminate, langid, packing, simhash, substring
 from assay.session import stage
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or of no language the model is fairly sure of, go."""
+    return langid.keep_identified(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-copies stays: the one with the smallest id."""
     return simhash.one_of_each(docs)
 
 
-STAGES = [("near_dedup", near_dedup)]
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more stay in the first document that has them."""
+    return substring.remove_repeats(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which any window of a benchmark item occurs go."""
+    return decontaminate.uncontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 4096 tokens."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("decontamination", decontamination),
+    ("packing", pack),
+]
 
 # Trained models, fingerprints and tokenizers are beyond SQL; tests/llm holds each stage to brute force.
 ORACLE_SQL = None
