@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registered
+from workload.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -27,7 +28,7 @@ def rows(columns, tuples):
     return Counter(tuple(r[i] for i in order) for r in tuples)
 
 
-@pytest.mark.parametrize("name", registered.queries())
+@pytest.mark.parametrize("name", registered.oracle_sql())
 def test_query_equals_its_sql(spark, database, name):
     result = registered.queries()[name](spark, FOLDER)
     answer = database.execute(registered.oracle_sql()[name])
@@ -39,8 +40,8 @@ def test_query_equals_its_sql(spark, database, name):
     assert found
 
 
-def test_every_query_has_sql():
-    assert registered.queries().keys() == registered.oracle_sql().keys()
+def test_every_query_of_the_layers_has_sql():
+    assert registered.queries().keys() >= registered.oracle_sql().keys() >= QUERIES.keys()
 
 
 def test_entry(spark):
