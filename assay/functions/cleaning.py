@@ -40,14 +40,16 @@ def _div(number: Column, divisor: int) -> Column:
 
 
 def reconciled_amount(amount: Column, quantity: Column, unit_price: Column) -> Column:
-    """quantity x |unit price| where it is known, else a positive amount as it stands, else NULL.
+    """quantity x |unit price| where both are known, else a positive amount as it stands, else NULL.
 
-    An amount that already equals the product needs no case of its own. The sign is turned by
+    A product too large for its type is NULL, not unknown: the delivered amount does not stand in for
+    it. An amount that already equals the product needs no case of its own. The sign is turned by
     ``try_subtract`` because ``abs`` fails on the smallest integer.
     """
     size = F.when(unit_price < 0, F.try_subtract(F.lit(0), unit_price)).otherwise(unit_price)
     product = F.try_multiply(quantity, size)
-    return F.coalesce(product, F.when(amount > 0, amount))
+    known = quantity.isNotNull() & unit_price.isNotNull()
+    return F.when(known, product).otherwise(F.when(amount > 0, amount))
 
 
 def clean_price(unit_price: Column, amount: Column, quantity: Column) -> Column:

@@ -12,6 +12,7 @@ from datetime import date
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from assay.plans import gold, silver
@@ -27,18 +28,25 @@ from assay.plans.names import (
     Names,
 )
 from assay.quality import QualityRunner
+from assay.quality.checks import CRITICAL
 from assay.session import scratch, tune
 from assay.sources import SOURCE_SCHEMAS, create_schema, overwrite_table, read_csv
 from assay.sources.tables import DEFAULT_FORMAT
 
+CORRUPT_COLUMN = "_malformed"
+
 
 @dataclass(frozen=True)
 class CsvSource:
-    """A CSV export and the table it fills; without a schema Spark infers one."""
+    """A CSV export and the table it fills; without a schema Spark infers one.
+
+    With a schema, ``corrupt_column`` keeps the whole of each line that holds a value the schema cannot.
+    """
 
     path: str
     table: str
     schema: StructType | None = None
+    corrupt_column: str | None = None
 
 
 @dataclass(frozen=True)
@@ -50,14 +58,22 @@ class Transformation:
 
 
 def bronze_sources(
-    landing: str, names: Names = Names(), infer_schema: bool = False
+    landing: str,
+    names: Names = Names(),
+    infer_schema: bool = False,
+    corrupt_column: str | None = CORRUPT_COLUMN,
 ) -> list[CsvSource]:
-    """The six exports below the folder ``landing``."""
+    """The six exports below the folder ``landing``.
+
+    The schemas are fixed, or inferred at the cost of a pass. A line with a value beyond a fixed one is
+    kept whole in ``corrupt_column`` of its bronze table; None leaves that column out.
+    """
     return [
         CsvSource(
             f"{landing.rstrip('/')}/{file}",
             names.table(BRONZE, table),
             None if infer_schema else SOURCE_SCHEMAS[table],
+            None if infer_schema else corrupt_column,
         )
         for file, table in SOURCE_FILES.items()
     ]
@@ -139,7 +155,8 @@ def load_csv(
 
     def load(source: CsvSource) -> None:
         _prepare(spark, source.table)
-        overwrite_table(read_csv(spark, source.path, source.schema), source.table, table_format)
+        df = read_csv(spark, source.path, source.schema, source.corrupt_column)
+        overwrite_table(df, source.table, table_format)
 
     _each(load, sources, at_once)
 
@@ -176,6 +193,8 @@ def run_all(
     product_end_column: str = "prd_end_dt",
     gate: Callable[[SparkSession, str], None] | None = None,
     at_once: int = 6,
+    infer_schema: bool = False,
+    corrupt_column: str | None = CORRUPT_COLUMN,
 ) -> None:
     """All three layers, below the folder ``location`` if given.
 
@@ -186,7 +205,8 @@ def run_all(
     for layer in (BRONZE, SILVER, GOLD):
         folder = f"{location.rstrip('/')}/{layer}" if location else None
         create_schema(spark, names.schema(layer), folder)
-    load_csv(spark, bronze_sources(landing, names), table_format, at_once)
+    sources = bronze_sources(landing, names, infer_schema, corrupt_column)
+    load_csv(spark, sources, table_format, at_once)
     _pass(gate, spark, BRONZE)
     cleaned = silver_transformations(names, as_of, strict_codes, product_end_column)
     transform(spark, cleaned, table_format, at_once)
@@ -208,6 +228,20 @@ def check_lookup_keys(runner: QualityRunner, names: Names = Names()) -> QualityR
     return runner
 
 
+def check_malformed(
+    runner: QualityRunner, names: Names = Names(), corrupt_column: str = CORRUPT_COLUMN
+) -> QualityRunner:
+    """Declare that no bronze table holds a line its schema could not take, and count those that do."""
+    for table in SOURCE_FILES.values():
+        name = names.table(BRONZE, table)
+        lines = runner.spark.table(name)
+        if corrupt_column in lines.columns:
+            kept = F.when(F.col(corrupt_column).isNull(), "well-formed").otherwise("malformed")
+            lines = lines.select(kept.alias("line"))
+            runner.check_values_in_set(lines, name, "line", ["well-formed"], CRITICAL)
+    return runner
+
+
 def _each(work: Callable[[Any], None], items: Iterable[Any], at_once: int) -> None:
     """Do ``work`` on each item; a failure is raised once the items under way are done."""
     if at_once == 1:

@@ -39,9 +39,13 @@ def run_summary(log: DataFrame) -> DataFrame:
 
 
 def alerts(log: DataFrame) -> DataFrame:
-    """The failed checks, as somebody should be told of them."""
+    """The failed checks, as somebody should be told of them, each with the run it belongs to."""
     ratio = F.concat_ws(" / ", F.col("records_failed"), F.col("records_total"))
     return log.where(F.col("status") == FAILED).select(
+        "layer",
+        "run_id",
+        "run_timestamp",
+        "pipeline_run_id",
         "table_name",
         "check_name",
         "check_type",

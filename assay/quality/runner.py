@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from assay.quality import audit_log, checks
 from assay.sources.schemas import AUDIT_LOG
-from assay.sources.tables import append_rows
+from assay.sources.tables import DEFAULT_FORMAT, append_rows
 
 logger = logging.getLogger(__name__)
 
@@ -27,6 +27,12 @@ class QualityGateError(Exception):
     """A critical check failed."""
 
 
+def _require(value: Any, name: str) -> None:
+    """A check of nothing would pass."""
+    if len(value) == 0:
+        raise ValueError(f"{name} must not be empty")
+
+
 class QualityRunner:
     """Collects checks for one layer, and commits their outcomes to the audit log.
 
@@ -45,6 +51,7 @@ class QualityRunner:
         alert_sink: AlertSink | None = None,
         log_table: str = audit_log.LOG_TABLE,
         run_timestamp: datetime | None = None,
+        log_format: str = DEFAULT_FORMAT,
     ) -> None:
         self.spark = spark
         self.layer = layer
@@ -55,6 +62,7 @@ class QualityRunner:
         self.alert_emails = list(alert_emails or ())
         self.alert_sink = alert_sink
         self.log_table = log_table
+        self.log_format = log_format
         self._declared: list[checks.Check] = []
         self._results: list[dict[str, Any]] = []
 
@@ -76,7 +84,9 @@ class QualityRunner:
         threshold: float = 0.0,
         severity: str = checks.CRITICAL,
     ) -> QualityRunner:
-        """For each column, a share of NULLs of at most ``threshold``. One entry per column."""
+        """For each column, a share of NULLs of at most ``threshold``. One entry per column; at
+        least one must be named."""
+        _require(columns, "columns")
         table = self._table(table_name)
         return self._declare(*(checks.nulls(df, table, c, threshold, severity) for c in columns))
 
@@ -87,7 +97,8 @@ class QualityRunner:
         key_columns: Sequence[str] = (),
         severity: str = checks.CRITICAL,
     ) -> QualityRunner:
-        """No two rows with the same key; NULLs are the same."""
+        """No two rows with the same key, of one or more columns; NULLs are the same."""
+        _require(key_columns, "key_columns")
         return self._declare(checks.duplicates(df, self._table(table_name), key_columns, severity))
 
     def check_values_in_set(
@@ -98,7 +109,9 @@ class QualityRunner:
         valid_values: Sequence[Any] = (),
         severity: str = checks.HIGH,
     ) -> QualityRunner:
-        """No value outside the set; NULL does not count."""
+        """No value outside the set, which must not be empty; NULL does not count."""
+        _require(column, "column")
+        _require(valid_values, "valid_values")
         table = self._table(table_name)
         return self._declare(checks.values_in_set(df, table, column, valid_values, severity))
 
@@ -133,7 +146,9 @@ class QualityRunner:
         """The uncommitted log entries in the order of declaration, one small row per check."""
         if self._declared:
             rows = self.report().orderBy("check_number").drop("check_number").collect()
-            self._results += [row.asDict() for row in rows]
+            # not the collected time: that has passed through the driver's time zone
+            at = {"run_timestamp": self.run_timestamp}
+            self._results += [row.asDict() | at for row in rows]
             self._declared = []
         return self._results
 
@@ -147,16 +162,17 @@ class QualityRunner:
         """Append the outcomes to the log, report and alert; then raise if a critical check failed.
 
         The entries are saved before anything is raised, and a second commit does not save them
-        again. Without checks nothing happens.
+        again. If saving fails they are kept, so that a repeated commit saves them and raises as the
+        first would have. Without checks nothing happens.
         """
         results = self.results
         stop = self.has_critical_failure
-        self._results = []
         if not results:
             return results
         log = self.spark.createDataFrame(results, AUDIT_LOG).coalesce(1)
-        audit_log.create_log(self.spark, self.log_table)
+        audit_log.create_log(self.spark, self.log_table, self.log_format)
         append_rows(log, self.log_table)
+        self._results = []
         passed = sum(r["status"] == checks.PASSED for r in results)
         logger.info(
             "%s run %s: %d checks passed, %d failed",

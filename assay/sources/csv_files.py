@@ -24,7 +24,10 @@ def read_csv(
         return reader.option("inferSchema", True).csv(path)
     reader = reader.option("mode", "PERMISSIVE")
     if corrupt_column:
-        # The header has no such column, so Spark cannot compare names here.
+        # The header has no such column, so Spark cannot compare names; those of one file are here.
+        header = spark.read.option("header", True).csv(path).columns
+        if header != schema.names:
+            raise ValueError(f"the CSV header of {path} is {header}, not {schema.names}")
         schema = StructType([*schema.fields, StructField(corrupt_column, StringType())])
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     else:

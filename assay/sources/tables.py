@@ -1,16 +1,20 @@
 """Catalog tables as sinks. Reading one is ``spark.table(name)``.
 
-The format is a parameter. With plain parquet an overwrite is not atomic for readers; a table format
-with transactions makes it so without change here.
+The format is a parameter. A table format with transactions overwrites in place. With others the new
+rows are written to a table of their own first, which then takes the name: a load that fails at any
+point leaves the old rows readable, and readers see no table only for the moment of the renaming.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_FORMAT = "parquet"
+# Formats whose overwrite is a transaction.
+TRANSACTIONAL = {"delta", "hudi", "iceberg", "paimon"}
 
 
 def create_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -25,14 +29,22 @@ def overwrite_table(
     table_format: str = DEFAULT_FORMAT,
     partition_by: Sequence[str] = (),
 ) -> None:
-    """Full load: replace the table's rows and schema. ``df`` must not read ``table`` itself.
-
-    The table is not dropped first, so a query that fails to plan leaves the old rows in place.
-    """
+    """Full load: replace the table's rows and schema. A query that fails leaves the old ones."""
+    spark = df.sparkSession
     writer = df.write.mode("overwrite").format(table_format)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
+    if table_format.lower() in TRANSACTIONAL or not spark.catalog.tableExists(table):
+        writer.saveAsTable(table)
+        return
+    new = f"{table}_new_{uuid.uuid4().hex[:12]}"
+    try:
+        writer.saveAsTable(new)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
 
 
 def append_rows(df: DataFrame, table: str) -> None:

@@ -4,6 +4,7 @@ from decimal import Decimal
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from assay.operators import with_surrogate_key
 from assay.plans import layers
@@ -77,11 +78,12 @@ def table(spark, name):
 
 def test_bronze_is_as_delivered(loaded):
     bronze = loaded.table("bronze.crm_cust_info")
-    assert bronze.schema == SOURCE_SCHEMAS["crm_cust_info"]
+    assert bronze.schema[:-1] == SOURCE_SCHEMAS["crm_cust_info"]
+    assert bronze.columns[-1] == layers.CORRUPT_COLUMN and not bronze.where("_malformed is not null").count()
     assert bronze.count() == 6
     assert {r.cst_firstname for r in bronze.collect()} == {" Ada ", "Ben", "Cy", "Nobody"}
     assert table(loaded, "bronze.erp_loc_a101") == Counter(
-        [("AW-1", "DE"), ("AW-2", " US"), ("AW-8", None)]
+        [("AW-1", "DE", None), ("AW-2", " US", None), ("AW-8", None, None)]
     )
 
 
@@ -296,3 +298,46 @@ def test_overwrite_and_append(spark, tmp_path):
     assert table(spark, "scratch.t") == Counter([(1, "x"), (2, "y")])
     overwrite_table(spark.createDataFrame([(3.5,)], "other double"), "scratch.t", "orc")
     assert table(spark, "scratch.t") == Counter([(3.5,)])
+
+
+def test_an_overwrite_that_fails_half_way_leaves_the_old_rows(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS scratch")
+    overwrite_table(spark.createDataFrame([(1,)], "a int"), "scratch.kept")
+    broken = spark.range(0, 100, 1, 4).select(
+        F.when(F.col("id") == 99, F.raise_error(F.lit("lost"))).otherwise("x").alias("a")
+    )
+    with pytest.raises(Exception, match="lost"):
+        overwrite_table(broken, "scratch.kept")
+    step = layers.Transformation("scratch.kept", lambda _: broken)
+    with pytest.raises(Exception, match="lost"):
+        layers.transform(spark, [step])
+    assert table(spark, "scratch.kept") == Counter([(1,)])
+    assert not [t.name for t in spark.catalog.listTables("scratch") if t.name.startswith("kept_new")]
+    overwrite_table(spark.createDataFrame([("z",)], "b string"), "scratch.kept")
+    assert table(spark, "scratch.kept") == Counter([("z",)])
+
+
+def test_bronze_keeps_lines_its_schema_cannot_take(spark, landing, tmp_path):
+    folder = tmp_path / "landing"
+    for file, text in FILES.items():
+        (folder / file).parent.mkdir(parents=True, exist_ok=True)
+        lines = [x.strip() for x in text.strip().split("\n")]
+        if file.endswith("sales_details.csv"):
+            lines.append("SO6,HL-2,1,20101229,20110105,20110110,3000000000,1,19.98")
+        (folder / file).write_text("\n".join(lines) + "\n")
+    names = Names(prefix="dirty_")
+    layers.run_all(spark, str(folder), names, as_of=date(2024, 1, 1), product_end_column="pd_end_dt")
+    sales = spark.table("dirty_bronze.crm_sales_details")
+    kept = [r._malformed for r in sales.where("_malformed is not null").collect()]
+    assert kept == ["SO6,HL-2,1,20101229,20110105,20110110,3000000000,1,19.98"]
+    runner = layers.check_malformed(QualityRunner(spark, "bronze"), names)
+    failed = {r["table_name"]: r["records_failed"] for r in runner.results if r["records_failed"]}
+    assert failed == {"dirty_bronze.crm_sales_details": 1}
+    assert runner.has_critical_failure
+    inferred = Names(prefix="inferred_")
+    layers.run_all(
+        spark, str(folder), inferred, as_of=date(2024, 1, 1), product_end_column="pd_end_dt",
+        infer_schema=True,
+    )
+    fact = spark.table("inferred_gold.fact_sales").where("order_number = 'SO6'")
+    assert fact.select("sales_amount").first()[0] is not None

@@ -2,6 +2,7 @@ import json
 from datetime import datetime, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from assay.quality import (
     QualityGateError,
@@ -203,7 +204,8 @@ def test_alerts_go_to_the_sink(spark, people, log):
     ((rows, to),) = sent
     assert to == ["someone"]
     assert [(r.check_name, r.failed_of_total) for r in rows] == [("row_count_min", "5 / 5")]
-    assert len(rows[0]) == 7
+    assert len(rows[0]) == 11
+    assert (rows[0].layer, rows[0].run_id) == ("bronze", runner.run_id)
 
     QualityRunner(spark, "bronze", alert_sink=lambda *_: sent.append(_)).check_row_count(
         people, "people", 1
@@ -233,3 +235,37 @@ def test_summary_and_alerts_of_the_log(spark, people, log):
 def test_a_runner_without_checks_commits_nothing(spark, log):
     assert QualityRunner(spark, "bronze").commit() == []
     assert log().count() == 0
+
+
+def test_a_failed_save_keeps_the_results_for_the_next_commit(spark, people, log, monkeypatch):
+    runner = QualityRunner(spark, "bronze").check_row_count(people, "people", 9)
+
+    def broken(*_):
+        raise OSError("disk full")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("assay.quality.runner.append_rows", broken)
+        with pytest.raises(OSError):
+            runner.commit()
+    with pytest.raises(QualityGateError):
+        runner.commit()
+    assert log().count() == 1
+    assert runner.commit() == []
+
+
+def test_checks_of_nothing_are_refused(spark, people):
+    runner = QualityRunner(spark, "bronze")
+    for declare in (
+        lambda: runner.check_nulls(people, "people"),
+        lambda: runner.check_duplicates(people, "people"),
+        lambda: runner.check_values_in_set(people, "people", "sex"),
+        lambda: runner.check_values_in_set(people, "people", valid_values=["m"]),
+    ):
+        with pytest.raises(ValueError):
+            declare()
+
+
+def test_the_logged_time_is_the_given_one(spark, people, log):
+    at = datetime(2024, 10, 27, 0, 30, tzinfo=timezone.utc)  # an hour that some zones have twice
+    QualityRunner(spark, "bronze", run_timestamp=at).check_row_count(people, "people").commit()
+    assert log().where(F.col("run_timestamp") == F.lit(at)).count() == 1

@@ -182,7 +182,8 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, lang, source FROM documents d
         WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
     "dq_audit_log": _checks(
-        f"'run-1' AS run_id, layer, 'manual' AS pipeline_run_id, {_COLUMNS}, details",
+        f"""'run-1' AS run_id, TIMESTAMPTZ '2000-01-01 00:00:00+00' AS run_timestamp, layer,
+          'manual' AS pipeline_run_id, {_COLUMNS}, details""",
         "row_count",
         "value_set",
         tail=", (VALUES ('bronze'), ('silver')) AS layers(layer)",
@@ -195,8 +196,11 @@ ORACLE: dict[str, str] = {
         tail="GROUP BY table_name",
     ),
     "dq_alerts": _checks(
-        """table_name, check_name, check_type, status, severity,
-          records_failed || ' / ' || records_total AS failed_of_total""",
+        """'silver' AS layer, 'run-1' AS run_id,
+          TIMESTAMPTZ '2000-01-01 00:00:00+00' AS run_timestamp, 'manual' AS pipeline_run_id,
+          table_name, check_name, check_type, status, severity,
+          records_failed || ' / ' || records_total AS failed_of_total,
+          CASE WHEN NOT starts_with(check_name, 'null_check') THEN details END AS details""",
         *_ALL,
         tail="WHERE NOT passed",
     ),

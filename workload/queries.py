@@ -342,7 +342,9 @@ def dq_audit_log(spark: SparkSession, folder: str) -> DataFrame:
         row_count_checks(spark, folder, runner)
         value_set_checks(spark, folder, runner)
         runner.commit(raise_on_critical=False)
-    return spark.table(log).select("run_id", "layer", "pipeline_run_id", *CHECK_COLUMNS, "details")
+    return spark.table(log).select(
+        "run_id", "run_timestamp", "layer", "pipeline_run_id", *CHECK_COLUMNS, "details"
+    )
 
 
 def dq_run_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -350,7 +352,11 @@ def dq_run_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    return alerts(report(spark, folder, *ALL_CHECKS)).drop("details")
+    found = alerts(report(spark, folder, *ALL_CHECKS))
+    # the details of null checks hold a double, whose text differs between engines
+    return found.withColumn(
+        "details", F.when(~F.startswith("check_name", F.lit("null_check")), F.col("details"))
+    )
 
 
 EXPORTS = {
