@@ -7,7 +7,7 @@ kept pairs. A token is scored by absolute discounting,
 
     p(w | h) = max(c(h w) - D, 0) / c(h) + (1 - mass(h) / c(h)) (c(w) + 1) / (N + V + 1).
 
-A false membership is an n-gram at a level by chance, in under one of a hundred probes. A pair needs
+A false membership is an n-gram at a level by chance, in about one of fifty probes. A pair needs
 two of them in a row, and is dropped if it would be more frequent than either of its words.
 
 The filter is cut into segments by hash; each is built in one task of bounded size. Segments are
@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import compress, repeat
 
 import numpy as np
 import pandas as pd
@@ -33,9 +34,9 @@ from assay.session import stage
 SPLIT, HELD_OUT = 7, 2
 CUTOFF = 2
 DISCOUNT = 0.75
-HASHES, BITS_PER_ENTRY = 6, 10
+HASHES, BITS_PER_ENTRY = 5, 8
 SEGMENT_ENTRIES = 1 << 20  # entries of a segment, about
-ROUND_BYTES = 64 << 20  # filter bytes broadcast at once
+ROUND_BYTES = 96 << 20  # filter bytes broadcast at once
 # Words counted exactly in memory for the unigram score; rarer ones are joined.
 HEAD_WORDS = 1 << 17
 CACHED_WORDS = 300_000
@@ -99,12 +100,14 @@ def mass_keys(hashes: np.ndarray) -> np.ndarray:
     return _mixed(hashes * _MASS + np.uint64(2))
 
 
-def _places(keys: np.ndarray, level: np.ndarray | int, bits: int) -> Iterator[np.ndarray]:
-    """The bits of (key, level) in a segment, one array per hash function."""
-    base = _mixed(keys + np.uint64(0x9E3779B97F4A7C15) * np.asarray(level, np.uint64))
-    step = (base >> np.uint64(32)) | np.uint64(1)
-    for k in range(HASHES):
-        yield ((base + np.uint64(k) * step) & np.uint64(0xFFFFFFFF)) % np.uint64(bits)
+def _places(mixed: np.ndarray, k: int, bits: np.ndarray | np.uint64) -> np.ndarray:
+    """The bit of hash function k in a segment, for mixed (key, level)."""
+    low = (mixed + np.uint64(k) * ((mixed >> np.uint64(32)) | np.uint64(1))) & np.uint64(0xFFFFFFFF)
+    return (low * bits) >> np.uint64(32)
+
+
+def _at_level(keys: np.ndarray, level: np.ndarray | int) -> np.ndarray:
+    return _mixed(keys + np.uint64(0x9E3779B97F4A7C15) * np.asarray(level, np.uint64))
 
 
 def build_segment(keys: np.ndarray, levels: np.ndarray) -> bytes:
@@ -114,8 +117,9 @@ def build_segment(keys: np.ndarray, levels: np.ndarray) -> bytes:
     every = np.repeat(keys, times)
     level = np.arange(len(every)) - np.repeat(np.cumsum(times) - times, times)
     on = np.zeros(-(-bits // 8) * 8, bool)
-    for place in _places(every, level, len(on)):
-        on[place] = True
+    mixed = _at_level(every, level)
+    for k in range(HASHES):
+        on[_places(mixed, k, np.uint64(len(on)))] = True
     return np.packbits(on, bitorder="little").tobytes()
 
 
@@ -134,13 +138,12 @@ class Segments:
         alive = np.flatnonzero(self.first[segment] >= 0)
         level = 0
         while len(alive):
-            here = segment[alive]
-            ok = np.ones(len(alive), bool)
-            for place in _places(keys[alive], level, 1 << 32):
-                at = place % self.bits[here].astype(np.uint64)
-                byte = self.packed[self.first[here] + (at >> np.uint64(3)).astype(np.int64)]
-                ok &= (byte >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            alive = alive[ok]
+            mixed = _at_level(keys[alive], level)
+            bits, first = self.bits[segment[alive]], self.first[segment[alive]]
+            for k in range(HASHES):  # those that miss a bit are not probed on
+                at = _places(mixed, k, bits).astype(np.int64)
+                ok = (self.packed[first + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1 == 1
+                alive, mixed, bits, first = alive[ok], mixed[ok], bits[ok], first[ok]
             found[alive] += 1
             level += 1
         return found
@@ -274,7 +277,7 @@ def _loaded(model: Model, run: tuple[int, int, int]) -> Segments:
     """The segments of a run; their size is known and bounded."""
     low, high, size = run
     packed, at = np.zeros(max(1, size), np.uint8), 0
-    first, bits = np.full(model.number, -1), np.ones(model.number, np.int64)
+    first, bits = np.full(model.number, -1), np.ones(model.number, np.uint64)
     for row in model.segments.where(F.col("segment").between(low, high)).toLocalIterator():
         part = np.frombuffer(row.packed, np.uint8)
         first[row.segment], bits[row.segment] = at, len(part) * 8
@@ -326,20 +329,19 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     shared = spark.sparkContext.broadcast(_loaded(model, runs[-1]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
-        for batch in records(batches, 128):
+        hashes, frequent = Hashes(), shared_head.value.get
+        for batch in records(batches, 256):
             found = [tokens(t) for t in texts(batch.column(2))]
             levels = _state(shared.value, hashes, found, batch.column(3).to_pylist())
             logs = log_probabilities(levels, total, distinct)
             sizes = np.array([len(x) for x in found])
             known, base, rare = [], [], []
             for words in found:
-                counts = list(map(shared_head.value.get, words))
-                exact = np.array([c for c in counts if c is not None], np.float64)
-                other = Counter(w for w, c in zip(words, counts, strict=True) if c is None)
-                known.append(len(exact))
-                base.append(np.log10(exact + 1).sum() + floor * len(words))
-                rare.append([] if complete else [{"word": w, "n": n} for w, n in other.items()])
+                counts = np.fromiter(map(frequent, words, repeat(0)), np.int64, len(words))
+                known.append(np.count_nonzero(counts))
+                base.append(np.log10(counts + 1.0).sum() + floor * len(words))
+                other = Counter(() if complete else compress(words, counts == 0))
+                rare.append([{"word": w, "n": n} for w, n in other.items()])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -380,11 +382,12 @@ def _state(segments: Segments, hashes: Hashes, found: list[list[bytes]], before:
     own = [hashes.of(words) for words in found]
     past = np.concatenate([histories(h) for h in own])
     now = np.concatenate(own)
-    keys = np.concatenate(
-        [word_keys(now), word_keys(past), pair_keys(past << np.uint64(32) | now), mass_keys(past)]
-    )
-    each, place = np.unique(keys, return_inverse=True)
-    levels = segments.levels(each)[place].reshape(4, -1)
+    words, place = np.unique(np.concatenate([now, past]), return_inverse=True)
+    pairs, pair_place = np.unique(past << np.uint64(32) | now, return_inverse=True)
+    keys = np.concatenate([word_keys(words), mass_keys(words), pair_keys(pairs)])
+    word, mass, pair = np.split(segments.levels(keys), [len(words), 2 * len(words)])
+    now_place, past_place = place[: len(now)], place[len(now) :]
+    levels = np.stack([word[now_place], word[past_place], pair[pair_place], mass[past_place]])
     if before and before[0] is not None:
         old = np.concatenate([np.frombuffer(x, np.int16).reshape(4, -1) for x in before], axis=1)
         levels = np.maximum(levels, old)

@@ -234,7 +234,7 @@ def test_filter_counts_are_never_too_low():
     keys = random.integers(0, 1 << 63, 5000).astype(np.uint64)
     levels = random.integers(0, 12, 5000)
     packed = np.frombuffer(lm.build_segment(keys, levels), np.uint8)
-    segments = lm.Segments(packed, np.array([0]), np.array([len(packed) * 8]))
+    segments = lm.Segments(packed, np.array([0]), np.array([len(packed) * 8], np.uint64))
     found = segments.levels(keys)
     assert (found >= levels + 1).all() and np.mean(found > levels + 1) < 0.03
     assert np.mean(segments.levels(random.integers(0, 1 << 63, 5000).astype(np.uint64)) > 0) < 0.03
