@@ -13,10 +13,12 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from assay.session import stage
+
 ROWS_PER_TASK = 5_000_000
 SAMPLE = 0.001
-MOST_KEYS = 10_000
 MARK = "_same_"
+HOT_ROWS = "_hot_rows"
 
 
 def find_hot_keys(
@@ -25,23 +27,28 @@ def find_hot_keys(
     rows_per_task: int = ROWS_PER_TASK,
     sample: float = SAMPLE,
 ) -> DataFrame | None:
-    """The keys with more than about ``rows_per_task`` rows, or None if there are none.
+    """(keys, estimated rows) of the keys with more than about ``rows_per_task`` rows; None if none.
 
-    Reads a sample of the key columns alone. The answer is small enough to broadcast at any data
-    size: it keeps the ``MOST_KEYS`` largest, and a key beyond those holds less than one row in
-    ``MOST_KEYS`` of the table, which a plain shuffle carries.
+    Reads a sample of the key columns alone. At most one key for each ``rows_per_task`` rows of the
+    table can be among them. The list is a written table: joins broadcast it only if it is small.
     """
+    estimate = F.count(F.lit(1)) / F.lit(sample)
     counted = (
         df.select(*keys)
         .sample(fraction=sample, seed=11)
         .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > rows_per_task * sample)
+        .agg(estimate.alias(HOT_ROWS))
+        .where(F.col(HOT_ROWS) > rows_per_task)
     )
-    rows = counted.orderBy(F.desc("_rows")).limit(MOST_KEYS).drop("_rows").collect()
-    if not rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, df.select(*keys).schema)
+    found = stage(counted, "hot-keys")
+    return found if found.limit(1).count() else None
+
+
+def may_be_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own estimate of the size is below its limit for broadcasts."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return limit > 0 and int(str(size)) <= limit
 
 
 def marked(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -58,6 +65,6 @@ def split_by_keys(
     df: DataFrame, hot: DataFrame, keys: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
     """(rows with a hot key, all other rows). ``hot`` comes from ``find_hot_keys``."""
-    listed = F.broadcast(marked(hot, keys))
+    listed = marked(hot.select(*keys), keys)
     on = same_keys(keys)
     return df.join(listed, on, "left_semi"), df.join(listed, on, "left_anti")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from assay.operators import hot_keys
 
-SPREAD = 64
+# Rows of one key, of either side, that a salted group holds at least.
+LEAST_PER_GROUP = 50
 
 
 def left_lookup(
@@ -23,35 +24,38 @@ def left_lookup(
     No broadcast is forced: Spark broadcasts ``right`` only if its size, measured at run time at
     the latest, is below ``spark.sql.autoBroadcastJoinThreshold``. A key that is hot in ``left``
     (NULL too) is split by adaptive execution. It cannot split the right side of a left join, so
-    keys hot in ``right`` are joined apart, over ``SPREAD`` salted groups; since such a key has a
-    match, an inner join is enough there. The search for them reads the key of ``right`` once more,
-    so ``right`` is best a table or little work away from one.
+    rows of keys hot in ``right`` are dealt over salted groups, as many as their number asks for, and
+    rows that look them up go to each of these; copies that find nothing are dropped, since such a
+    key has a match. Both sides are read once. The search for such keys, a sample of the key of
+    ``right``, is left out where Spark expects to broadcast ``right``.
     """
     shared = set(left.columns) & set(right.columns)
     if shared:
         raise ValueError(f"both sides have columns {sorted(shared)}")
     right = right.where(F.col(right_key).isNotNull())
-    hot = hot_keys.find_hot_keys(right, [right_key], rows_per_task, sample)
+    searched = rows_per_task < hot_keys.ROWS_PER_TASK or not hot_keys.may_be_broadcast(right)
+    hot = hot_keys.find_hot_keys(right, [right_key], rows_per_task, sample) if searched else None
     if hot is None:
         return _plain_lookup(left, right, left_key, right_key)
 
-    large, ordinary = hot_keys.split_by_keys(right, hot, [right_key])
-    listed = hot.withColumnRenamed(right_key, "_hot")
-    is_hot = F.col(left_key) == F.col("_hot")
-    plain = _plain_lookup(
-        left.join(F.broadcast(listed), is_hot, "left_anti"), ordinary, left_key, right_key
-    )
+    groups = F.ceil(F.col(hot_keys.HOT_ROWS) / F.lit(max(rows_per_task, LEAST_PER_GROUP)))
+    listed = hot.select(F.col(right_key).alias("_hot"), groups.cast("int").alias("_groups"))
+    number = F.coalesce("_groups", F.lit(1))
     # A task's number as salt: equal rows spread, and a retried task salts as before.
-    large = large.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SPREAD)))
-    copies = left.join(F.broadcast(listed), is_hot, "left_semi").withColumn(
-        "_copy", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
+    salted = (
+        right.join(listed, F.col(right_key) == F.col("_hot"), "left")
+        .withColumn("_salt", F.pmod(F.spark_partition_id(), number))
+        .drop("_hot", "_groups")
+    )
+    copies = (
+        left.join(listed, F.col(left_key) == F.col("_hot"), "left")
+        .withColumn("_copy", F.explode(F.sequence(F.lit(0), number - 1)))
+        .drop("_hot")
     )
-    salted = copies.join(
-        large,
-        (F.col(left_key) == F.col(right_key)) & (F.col("_copy") == F.col("_salt")),
-        "inner",
-    ).drop(right_key, "_copy", "_salt")
-    return plain.unionByName(salted)
+    same = (F.col(left_key) == F.col(right_key)) & (F.col("_copy") == F.col("_salt"))
+    joined = copies.join(salted, same, "left")
+    kept = joined.where(F.col("_groups").isNull() | F.col("_salt").isNotNull())
+    return kept.drop(right_key, "_salt", "_copy", "_groups")
 
 
 def _plain_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:

@@ -24,12 +24,12 @@ def with_validity_end(
 ) -> DataFrame:
     """Add the date column ``end``: the next version's start minus one day, NULL for the last.
 
-    Versions of one key follow each other by ``start`` (a date, NULL first), then by
+    Versions of one key follow each other by ``start`` (a date or time, NULL first), then by
     ``tie_breakers``, then by their hash. Ordinary keys take one window, a single shuffle. A key too large for one
     task takes the way of ``_end_by_calendar``; the result is the same.
     """
-    if not isinstance(df.schema[start].dataType, T.DateType):
-        raise TypeError(f"{start} must be a date")
+    if not isinstance(df.schema[start].dataType, T.DateType | T.TimestampType | T.TimestampNTZType):
+        raise TypeError(f"{start} must be a date or a time")
     hot = hot_keys.find_hot_keys(df, keys, rows_per_task, sample)
     rows = df.withColumn("_hash", row_hash(df))
     ranks = [*tie_breakers, "_hash"]
@@ -53,7 +53,7 @@ def _end_by_calendar(df, keys, start, end, ranks) -> DataFrame:
 
     All versions of a key that start on one day, but the last of them, end the day before it. Only
     the last needs the key's next start, and a window over the *distinct days* of a key finds that:
-    its size is bounded by the calendar, not by the data. The days are aggregated before any
+    for dates its size is bounded by the calendar, not by the data. The days are aggregated before any
     shuffle, and the join that brings them back is one whose large side adaptive execution splits.
     """
     # Equal rows must still be told apart, and alike in both uses below: number them and write.

@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter, defaultdict
 from datetime import date, timedelta
 
@@ -254,3 +255,27 @@ def test_duplicates(spark):
     assert duplicate_counts(df, ["x", "y"]).first() == (7, 3)
     assert duplicate_counts(df, ["x"]).first() == (7, 4)
     assert duplicate_counts(df.where("false"), ["x"]).first() == (0, 0)
+
+
+def test_hot_lookups_read_their_left_side_once(spark):
+    facts = session.stage(spark.range(0, 200, 1, 4).select((F.col("id") % 5).alias("fk"), "id"), "facts")
+    names = spark.createDataFrame([(n % 3, n % 5, f"v{n}") for n in range(300)], "a long, b long, v string")
+    once = left_lookup(facts, names.select("a", "v"), "fk", "a", rows_per_task=20, sample=1.0)
+    twice = left_lookup(
+        once, names.select("b", F.col("v").alias("w")).limit(200), "fk", "b", rows_per_task=10, sample=1.0
+    )
+    plan = twice._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("id#") and len(re.findall(r"Relation \[fk#\d+L,id#\d+L\]", plan)) == 1
+    counts = {r.fk: r.n for r in twice.groupBy("fk").agg(F.count("*").alias("n")).collect()}
+    other = {r.b: r.n for r in names.limit(200).groupBy("b").agg(F.count("*").alias("n")).collect()}
+    assert counts == {k: 40 * (100 if k < 3 else 1) * other[k] for k in range(5)}
+
+
+def test_small_sides_are_not_searched(spark, monkeypatch):
+    def search(*_):
+        raise AssertionError("searched")
+
+    monkeypatch.setattr("assay.operators.hot_keys.find_hot_keys", search)
+    right = spark.createDataFrame([(1, "x")], "k int, v string")
+    small = session.stage(right, "small")
+    assert left_lookup(spark.range(3), small, "id", "k").count() == 3
