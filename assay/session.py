@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import logging
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -62,11 +64,13 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
     global _local_folder
     if _local_folder is None:
         _local_folder = tempfile.mkdtemp(prefix="assay-")
+        atexit.register(shutil.rmtree, _local_folder, ignore_errors=True)
     return _local_folder
 
 
@@ -91,6 +95,17 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/assay-{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """The paths that ``stage`` writes inside, for the caller to ``remove`` once they have served."""
+    paths: list[str] = []
+    token = _scratch.set(paths)
+    try:
+        yield paths
+    finally:
+        _scratch.reset(token)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Remove on leaving what ``stage`` wrote inside, once the results are in tables."""
@@ -101,10 +116,10 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     finally:
         _scratch.reset(token)
         for path in paths:
-            _remove(spark, path)
+            remove(spark, path)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system holds it; a leftover must not fail the run."""
     try:
         folder = spark._jvm.org.apache.hadoop.fs.Path(path)

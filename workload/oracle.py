@@ -90,6 +90,8 @@ _ALL = list(_CHECK_SQL)
 
 ORACLE: dict[str, str] = {
     "layers_end_to_end": select_from("fact_sales"),
+    "layers_sql_transform": """
+        SELECT o_custkey, count(*) AS orders FROM orders GROUP BY o_custkey""",
     "bronze_csv_scan": select_from("sales"),
     "silver_category_passthrough": select_from("categories"),
     "silver_date_key": f"""
@@ -182,12 +184,16 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, lang, source FROM documents d
         WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
     "dq_audit_log": _checks(
-        f"""'run-1' AS run_id, TIMESTAMPTZ '2000-01-01 00:00:00+00' AS run_timestamp, layer,
+        f"""'run-1' AS run_id, 946684800::BIGINT AS run_timestamp, layer,
           'manual' AS pipeline_run_id, {_COLUMNS}, details""",
         "row_count",
         "value_set",
         tail=", (VALUES ('bronze'), ('silver')) AS layers(layer)",
     ),
+    "dq_truncated_log": _checks(
+        f"'run-1' AS run_id, 'silver' AS layer, 'manual' AS pipeline_run_id, {_COLUMNS}, details",
+        "value_set",
+    ),
     "dq_run_summary": _checks(
         """'run-1' AS run_id, 'silver' AS layer, table_name,
           CAST(count(*) FILTER (passed) AS BIGINT) AS passed,
@@ -197,7 +203,7 @@ ORACLE: dict[str, str] = {
     ),
     "dq_alerts": _checks(
         """'silver' AS layer, 'run-1' AS run_id,
-          TIMESTAMPTZ '2000-01-01 00:00:00+00' AS run_timestamp, 'manual' AS pipeline_run_id,
+          946684800::BIGINT AS run_timestamp, 'manual' AS pipeline_run_id,
           table_name, check_name, check_type, status, severity,
           records_failed || ' / ' || records_total AS failed_of_total,
           CASE WHEN NOT starts_with(check_name, 'null_check') THEN details END AS details""",

@@ -28,9 +28,9 @@ from assay.operators import (
     with_validity_end,
 )
 from assay.plans import gold, layers, silver
-from assay.plans.names import FACT_SALES, GOLD, Names
-from assay.quality import QualityRunner, alerts, run_summary
-from assay.session import new_path
+from assay.plans.names import BRONZE, FACT_SALES, GOLD, SILVER, Names
+from assay.quality import QualityRunner, alerts, create_log, run_summary, truncate_log
+from assay.session import new_path, remove
 from assay.sources import SOURCE_SCHEMAS, create_schema, read_csv
 from workload import exports
 from workload.exports import customer_number, table
@@ -64,15 +64,41 @@ def bronze_csv_scan(spark: SparkSession, folder: str) -> DataFrame:
 def layers_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
     """All six exports as CSV files, through bronze, silver and gold tables, to the written fact."""
     names = trial_names()
+    tidy(spark, "layers", *(names.schema(layer) for layer in (BRONZE, SILVER, GOLD)))
     place = new_path(spark, "layers")
     landing = f"{place}/landing"
     for file, export in EXPORTS.items():
         df = export(spark, folder)
         df.write.option("header", True).csv(f"{landing}/{file}")
     layers.run_all(spark, landing, names, location=place, as_of=AS_OF)
+    remove(spark, landing)
     return spark.table(names.table(GOLD, FACT_SALES))
 
 
+def layers_sql_transform(spark: SparkSession, folder: str) -> DataFrame:
+    """A transformation given as SQL text, run twice: the second load replaces the first."""
+    schema = trial_names().schema("gold")
+    tidy(spark, "sql", schema)
+    create_schema(spark, schema, new_path(spark, "sql"))
+    table(spark, folder, "orders").createOrReplaceTempView("orders_raw")
+    step = layers.Transformation(
+        f"{schema}.by_customer",
+        "SELECT o_custkey, count(*) AS orders FROM orders_raw GROUP BY o_custkey",
+    )
+    layers.transform(spark, [step, step])
+    return spark.table(step.destination)
+
+
+_trials: dict[str, tuple[str, ...]] = {}
+
+
+def tidy(spark: SparkSession, query: str, *schemas: str) -> None:
+    """Drop the schemas of the query's last call; note those of this one."""
+    for schema in _trials.pop(query, ()):
+        spark.sql(f"DROP DATABASE IF EXISTS {schema} CASCADE")
+    _trials[query] = schemas
+
+
 def trial_names() -> Names:
     """Schemas of their own for one call."""
     return Names(prefix=f"trial_{uuid.uuid4().hex[:12]}_")
@@ -335,6 +361,7 @@ def dq_orphan_rows(spark: SparkSession, folder: str) -> DataFrame:
 def dq_audit_log(spark: SparkSession, folder: str) -> DataFrame:
     """The log table after two runs committed to it."""
     audit = trial_names().schema("audit")
+    tidy(spark, "audit", audit)
     create_schema(spark, audit, new_path(spark, "audit"))
     log = f"{audit}.quality_log"
     for layer in ("bronze", "silver"):
@@ -343,10 +370,25 @@ def dq_audit_log(spark: SparkSession, folder: str) -> DataFrame:
         value_set_checks(spark, folder, runner)
         runner.commit(raise_on_critical=False)
     return spark.table(log).select(
-        "run_id", "run_timestamp", "layer", "pipeline_run_id", *CHECK_COLUMNS, "details"
+        "run_id", run_second(), "layer", "pipeline_run_id", *CHECK_COLUMNS, "details"
     )
 
 
+def dq_truncated_log(spark: SparkSession, folder: str) -> DataFrame:
+    """A run committed to the log, the log emptied, and another run committed."""
+    audit = trial_names().schema("audit")
+    tidy(spark, "truncated", audit)
+    create_schema(spark, audit, new_path(spark, "audit"))
+    log = f"{audit}.quality_log"
+    for layer in ("bronze", "silver"):
+        runner = QualityRunner(spark, layer, **RUN, log_table=log)
+        value_set_checks(spark, folder, runner)
+        create_log(spark, log)
+        truncate_log(spark, log)
+        runner.commit(raise_on_critical=False)
+    return spark.table(log).select("run_id", "layer", "pipeline_run_id", *CHECK_COLUMNS, "details")
+
+
 def dq_run_summary(spark: SparkSession, folder: str) -> DataFrame:
     return run_summary(report(spark, folder, *ALL_CHECKS))
 
@@ -354,9 +396,13 @@ def dq_run_summary(spark: SparkSession, folder: str) -> DataFrame:
 def dq_alerts(spark: SparkSession, folder: str) -> DataFrame:
     found = alerts(report(spark, folder, *ALL_CHECKS))
     # the details of null checks hold a double, whose text differs between engines
-    return found.withColumn(
-        "details", F.when(~F.startswith("check_name", F.lit("null_check")), F.col("details"))
-    )
+    details = F.when(~F.startswith("check_name", F.lit("null_check")), F.col("details"))
+    return found.withColumns({"details": details, "run_timestamp": run_second()})
+
+
+def run_second():
+    """The run's time as a number, which reads alike in every time zone."""
+    return F.unix_seconds("run_timestamp").alias("run_timestamp")
 
 
 EXPORTS = {
@@ -372,6 +418,7 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         layers_end_to_end,
+        layers_sql_transform,
         bronze_csv_scan,
         silver_category_passthrough,
         silver_date_key,
@@ -401,6 +448,7 @@ QUERIES: dict[str, Query] = {
         dq_ref_integrity,
         dq_orphan_rows,
         dq_audit_log,
+        dq_truncated_log,
         dq_run_summary,
         dq_alerts,
     )
