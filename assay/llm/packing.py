@@ -16,6 +16,7 @@ import os
 import re
 from collections import deque
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ SENTENCE_CUT, OTHER_CUT, PER_SEQUENCE = 4, 12, 16
 LONGEST_GAP = 48
 UNPADDED = (2048, 1024, 512)  # lengths of windows looked up as powers of two
 BUFFER = 1 << 19  # ids planned at once
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
 TOGETHER = 16  # words encoded as one text
 # Of the sentence ends within so many ids, one is a place to cut.
 GRAIN = 8
@@ -76,6 +77,7 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.cache: dict[bytes | str, bytes] = {"": b"", b"": b""}
+        self.older: dict[bytes | str, bytes] = {}
         ends = (".", "!", "?", "\u3002", "\uff01", "\uff1f")
         size = self.tokenizer.get_vocab_size()
         names = [self.tokenizer.id_to_token(k) or "" for k in range(size)]
@@ -100,9 +102,12 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = list(map(self.words, texts))
         new = set().union(*split) - self.cache.keys()
-        if len(self.cache) + len(new) > CACHED_WORDS:
-            self.cache = {"": b"", b"": b""}
+        if len(self.cache) + len(new) > CACHED_WORDS // 2:
+            self.older, self.cache = self.cache, {"": b"", b"": b""}
             new = set().union(*split) - self.cache.keys()
+        for word in new & self.older.keys():  # still in use
+            self.cache[word] = self.older[word]
+        new -= self.cache.keys()
         self._learn([w for w in new if isinstance(w, bytes) and w.isalpha()], TOGETHER)
         self._learn([w for w in new if w not in self.cache], 1)
         get = self.cache.__getitem__
@@ -126,6 +131,12 @@ class Encoder:
                 self.cache[word] = raw[bounds[k] : bounds[k + 1]]
 
 
+@lru_cache(1)
+def encoder_of(path: str) -> Encoder:
+    """The worker's encoder: its words serve the worker's later tasks too."""
+    return Encoder(path)
+
+
 def plan(
     ends: np.ndarray, sentence_ends: np.ndarray, total: int, final: bool, window: int = WINDOW
 ) -> list[int]:
@@ -213,7 +224,7 @@ def pack(
     path = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, sequence = Encoder(path), TaskContext.get().partitionId() << 40
+        encoder, sequence = encoder_of(path), TaskContext.get().partitionId() << 40
         held: list[tuple[int | None, int, np.ndarray]] = []  # key, ids before, ids from there on
         size = 0
         for batch in records(batches, 128):
