@@ -302,6 +302,37 @@ def test_planted_passages_are_found_and_clean_texts_left_alone(spark):
     assert all(len(left[k].split()) <= len(texts[k].split()) - 50 for k in range(1, 30))
 
 
+def mosaics(seed=7):
+    """Texts of shared lines in random order: signatures meet everywhere, equal passages here and there."""
+    random = np.random.default_rng(seed)
+    lines = [" ".join(f"v{x}" for x in random.integers(0, 5000, int(n))) for n in random.integers(8, 24, 40)]
+    made = {k: [lines[x] for x in random.integers(0, len(lines), 24)] for k in range(120)}
+    for k in range(30, 120, 6):  # a passage of some lines of an earlier text that is not the first with them
+        at = int(random.integers(0, 18))
+        made[k][at : at + 5] = made[k - 17][at : at + 5]
+    return {k: " ".join(x) for k, x in made.items()}
+
+
+def test_equal_passages_of_mosaics_are_all_found(spark):
+    texts = mosaics()
+    expected = repeated_words(texts)
+    assert len(expected) >= 15
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    found = defaultdict(set)
+    for r in substring.repeated_passages(table).collect():
+        assert r.source_id < r.doc_id
+        found[r.doc_id].update(range(r.start_word, r.end_word))
+    assert {k for k in expected if not expected[k] <= found[k]} == set()
+
+
+def test_run_hashes_depend_on_content_only():
+    random = np.random.default_rng(2)
+    part = random.integers(0, 1 << 63, 50).astype(np.uint64)
+    values = np.concatenate([part, random.integers(0, 1 << 63, 31).astype(np.uint64), part])
+    hashes = substring.RunHashes(values).of(np.array([0, 81, 1]), np.array([50, 131, 51]))
+    assert hashes[0] == hashes[1] != hashes[2]
+
+
 def test_cartesian_tree_bounds():
     random = np.random.default_rng(4)
     values = random.permutation(400).astype(np.uint64) << np.uint64(32)
