@@ -1,9 +1,9 @@
-"""Main text of web pages: page structure, then a suffix array over each host's token streams.
+"""Main text of web pages: page structure, then what repeats between the pages of each host.
 
 Parsing leaves the blocks of the article, or of the body where a page marks no article. What repeats
-between pages of a host is boilerplate: the token streams of its pages are laid end to end, suffixes
-are sorted by prefix doubling to the depth of a long substring, and neighbours that agree to that
-depth on distinct pages cover the words they start. Blocks that are mostly covered go.
+between pages of a host is boilerplate: each run of ``DEPTH`` tokens is counted by the distinct pages
+of the host that have it, over the whole host, and runs on several pages cover the words they hold.
+Blocks that are mostly covered go. ``repeats`` gives the same counts for one host from a suffix array.
 """
 
 from __future__ import annotations
@@ -13,16 +13,14 @@ from collections.abc import Iterator
 from html import unescape
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assay.llm.common import prepare, records
+from assay.llm.lm import Hashes
 from assay.session import stage
 
-# A host's pages are compared in shards of about this many bytes of html.
-SHARD_BYTES = 1 << 20
 DEPTH = 8  # tokens of a long substring, a power of two
 COVERED = 0.8  # share of a block's tokens from which it counts as boilerplate
 # In a marked article, only what stands on this share of the pages, and on at least so many.
@@ -154,7 +152,7 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([b for b, _ in made], pa.list_(pa.string())),
                 pa.array([m for _, m in made], pa.bool_()),
             ],
-            ["page_id", "url", "shard", "blocks", "marked"],
+            ["page_id", "url", "host", "blocks", "marked"],
         )
 
 
@@ -183,34 +181,68 @@ def repeats(tokens: np.ndarray, pages: np.ndarray) -> np.ndarray:
     return on
 
 
-def main_texts(shard: list[tuple[list[str], bool]]) -> list[str]:
-    """The text of each page of a shard of one host, without the blocks that repeat between pages."""
-    words = [[b.split(" ") for b in page] for page, _ in shard]
-    numbers: dict[str, int] = {}
-    stream = [numbers.setdefault(w, len(numbers)) for page in words for b in page for w in b]
-    sizes = [sum(map(len, page)) for page in words]
-    on = repeats(np.array(stream, np.int64), np.repeat(np.arange(len(shard)), sizes))
-    texts, at = [], 0
-    for page, (lines, marked) in zip(words, shard, strict=True):
-        least = max(ARTICLE_PAGES, ARTICLE_SHARE * len(shard)) if marked else 2
-        kept, total = [], 0
-        begin = at
-        for line, block in zip(lines, page, strict=True):
-            covered = np.mean(on[at : at + len(block)] >= least)
-            at += len(block)
-            if covered < COVERED:
-                kept.append(line)
-                total += len(block)
-        # a text that is mostly repeated is a copy of the article, not what frames it
-        texts.append("\n".join(kept if 2 * total >= at - begin else lines))
-    return texts
-
-
-def _cleaned(shard: pd.DataFrame) -> pd.DataFrame:
-    pages = [(list(b), m) for b, m in zip(shard["blocks"], shard["marked"], strict=True)]
-    return pd.DataFrame(
-        {"page_id": shard["page_id"], "url": shard["url"], "text": main_texts(pages)}
-    )
+def run_hashes(blocks: list[str], host: int, hashes: Hashes) -> np.ndarray:
+    """A 64-bit hash of the host and each run of ``DEPTH`` tokens of a page, across its blocks."""
+    words = hashes.of([w for b in blocks for w in b.encode("utf-8", "replace").split(b" ")])
+    count = max(0, len(words) - DEPTH + 1)
+    mixed = np.full(count, host & (1 << 64) - 1, np.uint64)
+    for i in range(DEPTH):
+        mixed = (mixed + words[i : i + count]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    return mixed.astype(np.int64)
+
+
+def _page_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, host, blocks) to (run, row), once for each run of a page."""
+    hashes = Hashes()
+    for batch in records(batches, 64):
+        runs = [
+            np.unique(run_hashes(b, h, hashes))
+            for h, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+        ]
+        rows = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(r) for r in runs])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(runs), pa.int64()), pa.array(rows, pa.int64())], ["run", "row"]
+        )
+
+
+def main_text(lines: list[str], marked: bool, on: np.ndarray, pages: int) -> str:
+    """A page's text without the blocks that repeat. ``on`` has the pages each token's runs are on,
+    ``pages`` the number of the host's."""
+    least = max(ARTICLE_PAGES, ARTICLE_SHARE * pages) if marked else 2
+    kept, total = [], 0
+    at = 0
+    for line in lines:
+        size = line.count(" ") + 1
+        covered = np.mean(on[at : at + size] >= least)
+        at += size
+        if covered < COVERED:
+            kept.append(line)
+            total += size
+    # a text that is mostly repeated is a copy of the article, not what frames it
+    return "\n".join(kept if 2 * total >= at else lines)
+
+
+def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(page_id, url, host, blocks, marked, pages, runs, counts) to the text of each page."""
+    hashes = Hashes()
+    for batch in records(batches, 64):
+        made = []
+        for host, lines, marked, pages, repeated in zip(
+            *(batch.column(k).to_pylist() for k in range(2, 7)), strict=True
+        ):
+            own = run_hashes(lines, host, hashes)
+            on = np.zeros(len(own) + DEPTH - 1, np.int64)
+            counts = {r["run"]: r["n"] for r in repeated or ()}
+            each = np.fromiter((counts.get(r, 1) for r in own.tolist()), np.int64, len(own))
+            for k in range(DEPTH):
+                np.maximum(on[k : k + len(own)], each, out=on[k : k + len(own)])
+            if not len(own):  # fewer tokens than a run has
+                on = np.zeros(DEPTH, np.int64)
+            made.append(main_text(lines, marked, on, pages))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(made, pa.string())], ["page_id", "url", "text"]
+        )
 
 
 def extract(
@@ -221,7 +253,7 @@ def extract(
     Blocks are joined by a line end in page order; a page without main text, a null or an empty one
     gives an empty text. A page whose url is null or has no host belongs to the host "". Broken and
     unclosed markup is read as browsers do, an unfinished tag at the end is dropped. Repeated rows give
-    repeated rows, other columns are not read. A host with many pages is compared shard by shard.
+    repeated rows, other columns are not read. Repeats are counted over all pages of a host, however many.
     """
     prepare(pages.sparkSession)
     host = F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][\w+.-]*://([^/?#]*)", 1)), F.lit(""))
@@ -231,17 +263,25 @@ def extract(
         F.coalesce(html, F.lit("")).alias("html"),
         host.alias("host"),
     )
-    size = F.sum(F.octet_length("html"))
-    large = rows.groupBy("host").agg(size.alias("bytes")).where(F.col("bytes") > SHARD_BYTES)
-    # written first, so that its size is known: Spark broadcasts it only if it is small
-    large = stage(large, "hosts")
-    shards = F.ceil(F.coalesce("bytes", F.lit(0)) / F.lit(float(SHARD_BYTES)))
-    number = F.pmod(F.xxhash64("page_id", "url"), F.greatest(shards, F.lit(1)))
-    placed = rows.join(large, "host", "left").select(
-        "page_id", "url", "html", F.xxhash64("host", number).alias("shard")
-    )
+    placed = rows.select("page_id", "url", "html", F.xxhash64("host").alias("host"))
     parsed = placed.mapInArrow(
-        _parsed, "page_id long, url string, shard long, blocks array<string>, marked boolean"
+        _parsed, "page_id long, url string, host long, blocks array<string>, marked boolean"
+    )
+    # written, so that the number of each row is fixed
+    parsed = stage(parsed.withColumn("row", F.monotonically_increasing_id()), "pages")
+    runs = parsed.select("row", "host", "blocks").mapInArrow(_page_runs, "run long, row long")
+    # the run's hash has the host in it, so that hot hosts are spread over all tasks
+    counts = runs.groupBy("run").agg(F.count("*").alias("n")).where("n > 1")
+    # written, so that the join has no aggregate in its stage and Spark can split a hot run
+    counts = stage(counts, "runs")
+    repeated = (
+        runs.join(counts, "run").groupBy("row").agg(F.collect_list(F.struct("run", "n")).alias("repeated"))
+    )
+    sizes = stage(parsed.groupBy("host").agg(F.count("*").alias("pages")), "hosts")
+    whole = (
+        parsed.join(sizes, "host")
+        .join(repeated, "row", "left")
+        .select("page_id", "url", "host", "blocks", "marked", "pages", "repeated")
     )
-    texts = parsed.groupBy("shard").applyInPandas(_cleaned, "page_id long, url string, text string")
+    texts = whole.mapInArrow(_cleaned, "page_id long, url string, text string")
     return texts.withColumn("n_chars", F.length("text").cast("long"))

@@ -476,6 +476,17 @@ def test_boilerplate_of_a_host_goes(spark):
     assert pages.extract(table.limit(0)).count() == 0
 
 
+def test_a_notice_on_two_pages_of_a_large_host_goes(spark):
+    notice = "This week the office is closed on both days because of the old town fair"
+    rows = []
+    for k in range(60):
+        own = " ".join(f"p{k}x{i:040d}" for i in range(1200))
+        rows.append((k, f"http://big.example/{k}", f"<div>{notice if k in (3, 58) else ''}</div><p>{own}</p>"))
+    table = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    found = {r.page_id: r.text for r in pages.extract(table).collect()}
+    assert len(found) == 60 and not any("office" in t for t in found.values())
+
+
 def test_repeats_equal_brute_force():
     random = np.random.default_rng(6)
     tokens = random.integers(0, 3, 300)
