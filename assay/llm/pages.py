@@ -209,18 +209,24 @@ def _page_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def main_text(lines: list[str], marked: bool, on: np.ndarray, pages: int) -> str:
     """A page's text without the blocks that repeat. ``on`` has the pages each token's runs are on,
     ``pages`` the number of the host's."""
-    least = max(ARTICLE_PAGES, ARTICLE_SHARE * pages) if marked else 2
+    framing = max(ARTICLE_PAGES, ARTICLE_SHARE * pages)
+    least = framing if marked else 2
     kept, total = [], 0
+    unframed, rest = [], 0
     at = 0
     for line in lines:
         size = line.count(" ") + 1
-        covered = np.mean(on[at : at + size] >= least)
+        here = on[at : at + size]
         at += size
-        if covered < COVERED:
+        if np.mean(here >= least) < COVERED:
             kept.append(line)
             total += size
-    # a text that is mostly repeated is a copy of the article, not what frames it
-    return "\n".join(kept if 2 * total >= at else lines)
+        if np.mean(here >= framing) < COVERED:
+            unframed.append(line)
+            rest += size
+    # what stands on most pages of a host frames the text; of the others, a text that is mostly
+    # repeated is a copy of an article
+    return "\n".join((kept if 2 * total >= rest else unframed) or lines)
 
 
 def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -487,6 +487,17 @@ def test_a_notice_on_two_pages_of_a_large_host_goes(spark):
     assert len(found) == 60 and not any("office" in t for t in found.values())
 
 
+def test_boilerplate_longer_than_the_article_goes(spark):
+    menu = " ".join(f"menu{i}" for i in range(60))
+    articles = {k: " ".join(f"a{k}x{i}" for i in range(40)) for k in range(10)}
+    articles[9] = articles[8]  # a copy of an article stays
+    rows = [(k, f"http://c.example/{k}", f"<div>{menu}</div><p>{a}</p>") for k, a in articles.items()]
+    rows.append((20, "http://c.example/20", f"<div>{menu}</div>"))
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in pages.extract(table).collect()}
+    assert found == articles | {20: menu}
+
+
 def test_repeats_equal_brute_force():
     random = np.random.default_rng(6)
     tokens = random.integers(0, 3, 300)
