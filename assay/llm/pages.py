@@ -41,7 +41,8 @@ DROPPED = set(
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = "script|style|noscript|template|textarea|title|svg|iframe"
 ROLES = set("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
-# Words in class or id, apart from case and the signs between them.
+# Names in class or id, apart from case. A name of several words counts if all are here or in PLACES, so
+# that with-sidebar, comments-open or tag-search say nothing of an element.
 NAMES = set(
     "ad ads adbox advert adverts advertisement advertising adslot banner breadcrumb breadcrumbs comment "
     "comments commentlist consent cookie cookies copyright disclaimer disqus footer gdpr login masthead "
@@ -52,6 +53,20 @@ NAMES = set(
 # These name parts of an article as well as of a page, and count only outside one.
 OUTER_NAMES = {"header", "head", "top", "bottom", "side"}
 
+PLACES = set(
+    "area bar block bottom box button buttons card cards container content entry fixed form global group head "
+    "header holder inner items left line link links list main outer page panel post posts primary right "
+    "row secondary section site slot small sticky text thread title top unit wrap wrapper".split()
+)
+# An article goes by its class only with one of these; and within an element so named, or one
+# of FIRM_ELEMENTS, an article is a card or a comment.
+FIRM = set(
+    "ad ads advert advertisement comment comments commentlist disqus promo promoted promotion related "
+    "replies reply respond sponsor sponsored".split()
+)
+FIRM_ELEMENTS = {"aside", "nav", "footer"}
+SMALL = 0.5  # marked text of less than this share of the unmarked text may be cards beside the main text
+
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*(?<!/)>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^\"'>])*+)>"
@@ -63,26 +78,39 @@ _NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
-def _is_dropped(name: str, rest: str, in_article: bool) -> bool:
-    """Whether an element is no part of the main text."""
+def _named(values: dict[str, str], in_article: bool) -> set[str]:
+    """The words that count of an element's class and id."""
+    found: set[str] = set()
+    names = NAMES if in_article else NAMES | OUTER_NAMES
+    for name in f"{values.get('class', '')} {values.get('id', '')}".split():
+        words = {w.lower() for w in _NAME_WORD.findall(name)}
+        if words <= NAMES | PLACES | OUTER_NAMES and (words & NAMES or words and words <= names):
+            found |= words & names
+    return found
+
+
+def _dropping(name: str, rest: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is no part of the main text, and whether that holds for articles in it."""
     if name in DROPPED or (name == "header" and not in_article):
-        return True
+        return True, name in FIRM_ELEMENTS
     if not rest.strip() or name in ("html", "body", "main"):
-        return False
+        return False, False
     values = {k.lower(): unescape(a or b or c) for k, a, b, c in _ATTRIBUTE.findall(rest)}
     if "hidden" in values or values.get("aria-hidden", "").lower() == "true":
-        return True
+        return True, False
     if values.get("role", "").lower() in ROLES or _HIDDEN.search(values.get("style", "").lower()):
-        return True
-    words = _NAME_WORD.findall(f"{values.get('class', '')} {values.get('id', '')}")
-    found = {w.lower() for w in words}
-    return bool(found & NAMES) or (not in_article and bool(found & OUTER_NAMES))
+        return True, False
+    found = _named(values, in_article)
+    firm = bool(found & FIRM)
+    # of ads, those left open are many: an article in one is an article
+    lasting = bool(found & (FIRM - {"ad", "ads", "advert", "advertisement"}))
+    return (firm if name == "article" else bool(found)), lasting
 
 
 def blocks(page: str) -> tuple[list[str], bool]:
     """The blocks of a page's main text, and whether the page marks it as an article."""
-    # (name, dropped, in article, in link) of each open element
-    stack: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]
+    # (name, dropped, in article, in link, dropped with its articles) of each open element
+    stack: list[tuple[str, bool, bool, bool, bool]] = [("", False, False, False, False)]
     found: list[tuple[str, bool, int]] = []  # text, in article, characters in links
     parts: list[str] = []
     linked = 0
@@ -98,7 +126,7 @@ def blocks(page: str) -> tuple[list[str], bool]:
 
     def add(text: str) -> None:
         nonlocal linked, inside
-        _, dropped, in_article, in_link = stack[-1]
+        _, dropped, in_article, in_link, _ = stack[-1]
         if text and not dropped:
             text = unescape(text)
             parts.append(text)
@@ -126,17 +154,19 @@ def blocks(page: str) -> tuple[list[str], bool]:
             continue
         if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack[-1][0] == name:
             stack.pop()
-        _, dropped, in_article, in_link = stack[-1]
+        _, dropped, in_article, in_link, firm = stack[-1]
         marks = name in ("article", "main")
-        drops = _is_dropped(name, token["rest"] or "", in_article or marks)
-        # an article inside something left open is an article all the same
-        open_comment = dropped and in_article
-        dropped = drops or (dropped and (not marks or open_comment))
-        stack.append((name, dropped, in_article or marks, in_link or name == "a"))
+        drops, firmly = _dropping(name, token["rest"] or "", in_article or marks)
+        # an article inside something else left open is an article all the same
+        stays = not marks or in_article or (firm and name == "article")
+        firm = firmly or (firm and (dropped and stays))
+        dropped = drops or (dropped and stays)
+        stack.append((name, dropped, in_article or marks, in_link or name == "a", firm))
     add(page[at:])
     close()
     article = [text for text, marked, _ in found if marked]
-    if article:
+    others = sum(len(text) for text, marked, links in found if not marked and links < LINKED * len(text))
+    if article and sum(map(len, article)) >= SMALL * others:
         return article, True
     return [text for text, _, links in found if links < LINKED * len(text)], False
 

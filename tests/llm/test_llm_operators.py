@@ -459,6 +459,25 @@ def test_structure_of_pages():
         assert "\n".join(pages.blocks(html)[0]) == text
 
 
+def test_names_that_say_nothing_of_an_element():
+    for name in ("content with-sidebar", "has-sidebar", "hentry comments-open", "post tag-search"):
+        for element in ("div", "article", "main"):
+            assert pages.blocks(f"<{element} class='{name}'><p>own text</p></{element}>")[0] == ["own text"]
+    for name in ("sidebar", "site-footer", "cookie-banner", "comment-list", "related-posts", "x adBox"):
+        assert pages.blocks(f"<p>own text</p><div class='{name}'><p>other</p></div>")[0] == ["own text"]
+
+
+def test_cards_and_comments_are_not_the_article():
+    main = "<div><p>" + "own text " * 40 + "</p></div>"
+    text = ("own text " * 40).strip()
+    cards = "<article><p>a card</p></article>" * 2
+    for around in ("aside", "nav", "footer", "section class='comments'", "div id='related-posts'"):
+        end = around.split(" ")[0]
+        assert pages.blocks(f"{main}<{around}>{cards}</{end}>")[0] == [text]
+    assert text in pages.blocks(f"{main}<div>{cards}</div>")[0]
+    assert pages.blocks(f"{main}<article class='comment'>bad</article>")[0] == [text]
+
+
 def test_boilerplate_of_a_host_goes(spark):
     notice = "We are the best place of all for news about small towns and their trains"
     rows = []
