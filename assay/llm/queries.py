@@ -15,9 +15,11 @@ from assay.llm import (
     packing,
     pages,
     quality,
+    repair,
     simhash,
     substring,
     topk,
+    trie,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +86,15 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.assess(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(*trie.branched(table(spark, folder, "conversations")))
+
+
+def op12_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    return repair.repairs(repair.damaged(conversations), conversations)
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_packing": op2_packing,
@@ -95,6 +106,8 @@ QUERIES: dict[str, Query] = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_language_id": op9_language_id,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_structure_repair": op12_structure_repair,
 }
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -149,4 +162,39 @@ ORACLE: dict[str, str] = {
                coalesce(hits.n, 0) > 0 AS contaminated
         FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    "op11_prefix_trie": """
+        WITH t AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+                PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), c AS (
+            SELECT DISTINCT conv_id, conv_id - conv_id % 100 AS base, xor(4294967295, list_reduce(
+                list_prepend(4294967295::BIGINT, [ascii(x)::BIGINT FOR x IN string_split(conv_id::VARCHAR, '')]),
+                lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+                    lambda a, i: xor(a >> 1, 3988292384 * (a & 1))))) % 6 AS h
+            FROM t
+        ), paths AS (
+            SELECT conv_id, coalesce(list({'role': role, 'text': text} ORDER BY own, p)
+                                     FILTER (WHERE p IS NOT NULL), []) AS path
+            FROM (SELECT c.conv_id, 0 AS own, t.* EXCLUDE conv_id
+                  FROM c LEFT JOIN t ON t.conv_id = c.base AND t.p <= c.h
+                  UNION ALL SELECT conv_id, 1, t.* EXCLUDE conv_id FROM c JOIN t USING (conv_id) WHERE p > h)
+            GROUP BY conv_id
+        ), nodes AS (
+            SELECT path[1:d] AS node, d, min(conv_id) AS conv_id, count(*) AS n, max(len(path)) = d AS leaf,
+                   (count(*) - 1) * coalesce(max(length(path[d].text)), 0) AS saved,
+                   coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)
+                            FILTER (WHERE len(path) = d), '') AS ids
+            FROM (SELECT *, unnest(range(len(path) + 1)) AS d FROM paths) GROUP BY path[1:d], d
+        ), sums AS (
+            SELECT node[1:k] AS node, k AS d, sum(leaf::BIGINT)::BIGINT AS leaves, sum(saved)::BIGINT AS saved,
+                   count(*) FILTER (WHERE d = k + 1) AS children
+            FROM (SELECT *, unnest(range(d + 1)) AS k FROM nodes) GROUP BY node[1:k], k
+        )
+        SELECT nodes.conv_id, nodes.d AS depth, parent.conv_id AS parent_conv_id, nodes.n AS n_convs,
+               sums.children AS n_children, sums.leaves AS n_leaves, sums.saved AS saved_tokens,
+               sha256(nodes.ids) AS ends_sha256
+        FROM nodes JOIN sums ON sums.node = nodes.node AND sums.d = nodes.d
+        LEFT JOIN nodes parent ON nodes.d = parent.d + 1 AND parent.node = nodes.node[1 : nodes.d - 1]
+    """,
 }
