@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from assay.llm import (
     decontaminate,
+    exact_repeats,
     langid,
     licences,
     lm,
@@ -95,6 +96,10 @@ def op12_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.repairs(repair.damaged(conversations), conversations)
 
 
+def op13_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_repeats.repeats(table(spark, folder, "documents"), texts_too=False).drop("kept")
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_packing": op2_packing,
@@ -108,6 +113,7 @@ QUERIES: dict[str, Query] = {
     "op10_quality_classifier": op10_quality_classifier,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_structure_repair": op12_structure_repair,
+    "op13_suffix_array_dedup": op13_suffix_array_dedup,
 }
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"

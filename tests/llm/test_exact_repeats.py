@@ -1,0 +1,134 @@
+"""Removal of exact repeats and the suffix arrays behind it, against brute force."""
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from assay.llm import exact_repeats, queries
+from assay.llm.grouping import suffix_array
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def brute_repeats(rows, length=50):
+    first = {}
+    data = [(i, (t or "").encode()) for i, t in rows]
+    for i, text in data:
+        for k in range(len(text) - length + 1):
+            if i is not None:
+                window = text[k : k + length]
+                first[window] = min(i, first.get(window, i))
+    out = []
+    for i, text in data:
+        gone = np.zeros(len(text), bool)
+        for k in range(len(text) - length + 1):
+            if i is not None and first[text[k : k + length]] < i:
+                gone[k : k + length] = True
+        spans = sum(gone[k] and (k == 0 or not gone[k - 1]) for k in range(len(gone)))
+        kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
+        out.append((i, len(text), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept))
+    return sorted(out, key=str)
+
+
+def found(documents, **options):
+    rows = exact_repeats.repeats(documents, **options).collect()
+    return sorted(((*r[:5], None if r.kept is None else bytes(r.kept)) for r in rows), key=str)
+
+
+def mosaics(seed, count=80):
+    """Texts of shared pieces cut at any byte, shifted against each other, some repeated in one text."""
+    random.seed(seed)
+    words = ["".join(random.choice("abcde é") for _ in range(random.randint(1, 7))) for _ in range(40)]
+
+    def prose(n):
+        return " ".join(random.choice(words) for _ in range(n))
+
+    pieces = [prose(40) for _ in range(12)] + ["ab" * 60, "x" * 130]
+    texts = []
+    for _ in range(count):
+        text = prose(random.randint(0, 12))
+        for _ in range(random.randint(0, 4)):
+            piece = random.choice(pieces)
+            a = random.randint(0, len(piece))
+            text += piece[a : a + random.randint(20, 120)] + prose(random.randint(0, 5))
+        texts.append(text)
+    return [(random.randint(0, 3 * count), t) for t in texts]
+
+
+@pytest.mark.parametrize("symbols", [1, 2, 3, 30])
+def test_suffix_array_by_grouping(symbols):
+    random.seed(symbols)
+    for _ in range(300):
+        text = [random.randint(1, symbols) for _ in range(random.randint(0, 60))] + [0]
+        assert suffix_array(text) == sorted(range(len(text)), key=lambda i: text[i:])
+
+
+def test_suffix_array_of_fibonacci_and_runs():
+    a, b = [2], [2, 1]
+    while len(b) < 900:
+        a, b = b, b + a
+    for text in (b + [0], [1] * 500 + [0], [2, 1] * 300 + [0], [1, 2, 3] * 200 + [0]):
+        assert suffix_array(text) == sorted(range(len(text)), key=lambda i: text[i:])
+
+
+@pytest.mark.parametrize("options", [{}, {"batch": 1}, {"batch": 500}, {"length": 47}, {"length": 64}])
+def test_repeats_equal_brute_force(spark, options, many_partitions):
+    rows = mosaics(len(str(options)))
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert found(documents, **options) == brute_repeats(rows, options.get("length", 50))
+
+
+def test_query_equals_brute_force(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    got = queries.op13_suffix_array_dedup(spark, FOLDER)
+    want = [r[:5] for r in brute_repeats(rows)]
+    assert sorted((tuple(r) for r in got.collect()), key=str) == want
+    assert sum(r[2] > 0 for r in want) > 10
+
+
+def test_awkward_documents(spark):
+    text = "A passage that is long enough to be found in more than one place of a table, twice."
+    rows = [(None, text), (None, text), (1, None), (2, ""), (3, text), (3, text), (3, "More: " + text)]
+    rows += [(4, text[:49]), (5, text[:50]), (6, "日本語" * 40), (7, "本語日" * 40), (-1, "z" + text[20:])]
+    rows += [(8, "long " * 60_000), (9, "long " * 100), (10, text * 3)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in ("hash", "context", "side", "first", "rank", "packed", "windows", "kept", "n_bytes"):
+        documents = documents.withColumn(name, F.lit("clash"))
+    assert found(documents) == brute_repeats(rows)
+    assert found(documents, texts_too=False)[0][5] is None
+    assert found(documents.limit(0)) == []
+
+
+def test_a_hot_anchor_with_many_contexts(spark):
+    """One line in every document between other words: more contexts than a batch takes."""
+    random.seed(5)
+    line = "This line of fifty-odd bytes stands in all documents."
+    rows = [
+        (k, "".join(random.choice("ab") for _ in range(60)) + line + "".join(random.choice("ab") for _ in range(60)))
+        for k in range(150)
+    ]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(documents, batch=2000) == brute_repeats(rows)
+
+
+def test_length_has_bounds(spark):
+    with pytest.raises(ValueError):
+        exact_repeats.repeats(spark.createDataFrame([], "doc_id long, text string"), length=30)
+
+
+def test_anchors_cover_every_window_once():
+    random.seed(6)
+    parts = [t.encode() for _, t in mosaics(7)] + [b"q" * 300, b""]
+    anchors = exact_repeats.Anchors(parts)
+    assert anchors.windows.sum() == sum(max(len(p) - 49, 0) for p in parts)
+    assert anchors.windows.max() <= 35
+    counts = Counter()
+    for k in range(len(anchors.start)):
+        context = anchors.text[anchors.start[k] : anchors.end[k]]
+        counts[context] += 1
+        assert anchors.start[k] <= anchors.anchor[k] <= anchors.end[k] - 16
+    assert len(counts) == len(set(anchors.context.tolist()))
