@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from datetime import date
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -30,8 +30,16 @@ from assay.plans.names import (
 from assay.quality import QualityRunner
 from assay.quality.checks import CRITICAL
 from assay.session import scratch, tune
-from assay.sources import SOURCE_SCHEMAS, create_schema, overwrite_table, read_csv
-from assay.sources.tables import DEFAULT_FORMAT
+from assay.sources import (
+    SOURCE_SCHEMAS,
+    create_schema,
+    overwrite_table,
+    read_csv,
+    read_text,
+    typed,
+)
+from assay.sources.csv_files import wider_types, widths
+from assay.sources.tables import DEFAULT_FORMAT, in_place
 
 CORRUPT_COLUMN = "_malformed"
 
@@ -40,13 +48,16 @@ CORRUPT_COLUMN = "_malformed"
 class CsvSource:
     """A CSV export and the table it fills; without a schema Spark infers one.
 
-    With a schema, ``corrupt_column`` keeps the whole of each line that holds a value the schema cannot.
+    With a schema, a column of whole numbers is widened if its values need it. ``corrupt_column`` keeps
+    the whole of each line that holds a value the schema itself cannot take, and ``rejects_column`` what
+    no type of its column could.
     """
 
     path: str
     table: str
     schema: StructType | None = None
     corrupt_column: str | None = None
+    rejects_column: str | None = None
 
 
 @dataclass(frozen=True)
@@ -65,8 +76,9 @@ def bronze_sources(
 ) -> list[CsvSource]:
     """The six exports below the folder ``landing``.
 
-    The schemas are fixed, or inferred at the cost of a pass. A line with a value beyond a fixed one is
-    kept whole in ``corrupt_column`` of its bronze table; None leaves that column out.
+    The schemas are fixed, or inferred at the cost of a pass. A fixed one's whole numbers are widened
+    where values need it, and a line with a value beyond the schema is kept whole in ``corrupt_column``
+    of its bronze table; None leaves that column out.
     """
     return [
         CsvSource(
@@ -155,12 +167,38 @@ def load_csv(
 
     def load(source: CsvSource) -> None:
         _prepare(spark, source.table)
-        df = read_csv(spark, source.path, source.schema, source.corrupt_column)
-        overwrite_table(df, source.table, table_format)
+        if source.schema is None:
+            overwrite_table(read_csv(spark, source.path), source.table, table_format)
+        else:
+            _load_typed(spark, source, table_format)
 
     _each(load, sources, at_once)
 
 
+def _load_typed(spark: SparkSession, source: CsvSource, table_format: str) -> None:
+    """Load with the schema's types, and again with wider ones if the first write met the need."""
+    schema = source.schema
+    text = read_text(spark, source.path, schema.names, source.corrupt_column)
+    columns = {"corrupt_column": source.corrupt_column, "rejects_column": source.rejects_column}
+    needed = widths(schema)
+    if not needed:
+        overwrite_table(typed(text, schema, **columns), source.table, table_format)
+        return
+    if in_place(spark, source.table, table_format):  # others would see a first write
+        found = text.agg(*(need.alias(name) for name, need in needed.items())).first().asDict()
+        types = wider_types(schema, found)
+        overwrite_table(typed(text, schema, types, **columns), source.table, table_format)
+        return
+    seen = Observation(f"widths of {source.table}")
+    observed = text.observe(seen, *(need.alias(name) for name, need in needed.items()))
+
+    def wider() -> DataFrame | None:
+        types = wider_types(schema, seen.get)
+        return typed(text, schema, types, **columns) if types else None
+
+    overwrite_table(typed(observed, schema, **columns), source.table, table_format, revise=wider)
+
+
 def transform(
     spark: SparkSession,
     transformations: Iterable[Transformation],

@@ -92,7 +92,20 @@ ORACLE: dict[str, str] = {
     "layers_end_to_end": select_from("fact_sales"),
     "layers_sql_transform": """
         SELECT o_custkey, count(*) AS orders FROM orders GROUP BY o_custkey""",
+    "layers_reload": select_from("silver_locations"),
     "bronze_csv_scan": select_from("sales"),
+    "bronze_dirty_csv": """
+        SELECT CAST(l_orderkey AS INTEGER) AS order_key, CAST(l_linenumber AS INTEGER) AS line,
+          CASE l_linenumber WHEN 7 THEN q + 3000000000 WHEN 5 THEN NULL ELSE q END AS quantity,
+          CAST(CASE WHEN l_linenumber = 6 THEN NULL WHEN l_returnflag = 'R' THEN floor(p) ELSE p END
+            AS DECIMAL(23,4)) AS price,
+          CASE WHEN l_linenumber <> 4 THEN CAST(l_shipdate AS DATE) END AS shipped,
+          l_returnflag AS flag, l_returnflag <> 'R' OR l_linenumber >= 4 AS malformed,
+          CASE l_linenumber WHEN 5 THEN 'many' END AS quantity_rejected,
+          CASE l_linenumber WHEN 6 THEN 'free, today' END AS price_rejected,
+          CASE l_linenumber WHEN 4 THEN 'soon' END AS shipped_rejected
+        FROM (SELECT *, CAST(l_quantity AS BIGINT) AS q, CAST(l_extendedprice AS DECIMAL(12,2)) AS p
+              FROM lineitem)""",
     "silver_category_passthrough": select_from("categories"),
     "silver_date_key": f"""
         SELECT l_orderkey, l_linenumber, raw, {date_sql("raw")} AS day

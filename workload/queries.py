@@ -8,6 +8,7 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
 
 from assay.functions import (
     clean_price,
@@ -61,6 +62,80 @@ def bronze_csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     return read_csv(spark, path, SOURCE_SCHEMAS["crm_sales_details"])
 
 
+LINES = StructType(
+    [
+        StructField("order_key", IntegerType()),
+        StructField("line", IntegerType()),
+        StructField("quantity", IntegerType()),
+        StructField("price", IntegerType()),
+        StructField("shipped", DateType()),
+        StructField("flag", StringType()),
+    ]
+)
+
+
+def bronze_dirty_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Files with their columns in two orders; amounts beyond the schema's types, and text in numbers.
+
+    The columns come out as wide as their values need, each value under its own name, and what is no
+    number at all is kept beside the row.
+    """
+    line, flag = F.col("l_linenumber"), F.col("l_returnflag")
+    quantity = F.col("l_quantity").cast("bigint")
+    price = F.col("l_extendedprice").cast("decimal(12,2)")
+    lines = table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("order_key"),
+        line.alias("line"),
+        F.when(line == 7, (quantity + 3_000_000_000).cast("string"))
+        .when(line == 5, F.lit("many"))
+        .otherwise(quantity.cast("string"))
+        .alias("quantity"),
+        F.when(line == 6, F.lit("free, today"))
+        .when(flag == "R", F.floor(price).cast("string"))
+        .otherwise(price.cast("string"))
+        .alias("price"),
+        F.when(line == 4, F.lit("soon"))
+        .otherwise(F.col("l_shipdate").cast("date").cast("string"))
+        .alias("shipped"),
+        flag.alias("flag"),
+    )
+    place, schema = new_path(spark, "dirty-csv"), trial_names().schema("bronze")
+    tidy(spark, "dirty", schema)
+    orders = {"plain": lines.columns, "turned": lines.columns[::-1]}
+    for name, columns in orders.items():
+        some = lines.where((flag == "R") == (name == "turned")).select(*columns)
+        some.write.option("header", True).csv(f"{place}/landing/{name}")
+    create_schema(spark, schema, f"{place}/bronze")
+    source = layers.CsvSource(f"{place}/landing/*", f"{schema}.lines", LINES, "_malformed", "_rejected")
+    layers.load_csv(spark, [source])
+    remove(spark, f"{place}/landing")
+    return spark.table(source.table).select(
+        *LINES.names,
+        F.col("_malformed").isNotNull().alias("malformed"),
+        *(F.col("_rejected")[c].alias(f"{c}_rejected") for c in ("quantity", "price", "shipped")),
+    )
+
+
+def layers_reload(spark: SparkSession, folder: str) -> DataFrame:
+    """Two full loads under names with a catalog: the second, from files in another column order,
+    replaces the first, and the silver tables with it."""
+    names = Names("spark_catalog", trial_names().prefix)
+    place = new_path(spark, "reload")
+    tidy(spark, "reload", *(names.schema(layer) for layer in (BRONZE, SILVER)))
+    for layer in (BRONZE, SILVER):
+        create_schema(spark, names.schema(layer), f"{place}/{layer}")
+    file = "erp/LOC_A101.csv"
+    rows = exports.locations(spark, folder)
+    for turn in (rows.where("CNTRY IS NOT NULL"), rows.select("CNTRY", "CID")):
+        turn.write.mode("overwrite").option("header", True).csv(f"{place}/landing/{file}")
+        sources = layers.bronze_sources(f"{place}/landing", names)
+        layers.load_csv(spark, [s for s in sources if s.path.endswith(file)])
+        steps = layers.silver_transformations(names, AS_OF)
+        layers.transform(spark, [s for s in steps if s.destination.endswith("erp_loc_a101")])
+    remove(spark, f"{place}/landing")
+    return spark.table(names.table(SILVER, "erp_loc_a101"))
+
+
 def layers_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
     """All six exports as CSV files, through bronze, silver and gold tables, to the written fact."""
     names = trial_names()
@@ -419,7 +494,9 @@ QUERIES: dict[str, Query] = {
     for query in (
         layers_end_to_end,
         layers_sql_transform,
+        layers_reload,
         bronze_csv_scan,
+        bronze_dirty_csv,
         silver_category_passthrough,
         silver_date_key,
         silver_sales_repair,
