@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -62,10 +63,14 @@ class CsvSource:
 
 @dataclass(frozen=True)
 class Transformation:
-    """A table and the query that fills it: SQL text, or a function of the session."""
+    """A table and the query that fills it: SQL text, or a function of the session.
+
+    ``checks(runner, df)`` declares checks of the table's rows, if ``transform`` is given a runner.
+    """
 
     destination: str
     query: str | Callable[[SparkSession], DataFrame]
+    checks: Callable[[QualityRunner, DataFrame], Any] | None = None
 
 
 def bronze_sources(
@@ -204,18 +209,28 @@ def transform(
     transformations: Iterable[Transformation],
     table_format: str = DEFAULT_FORMAT,
     at_once: int = 1,
+    runner: QualityRunner | None = None,
 ) -> None:
     """Run each query and replace its destination.
 
     In the given order, so that one may read what an earlier one wrote; queries that do not read
-    each other's tables may run several ``at_once``.
+    each other's tables may run several ``at_once``. With a ``runner``, a step's checks are declared on
+    it, and its plain counts are taken from the rows as they are written.
     """
 
     def run(step: Transformation) -> None:
         _prepare(spark, step.destination)
+
+        def write(df: DataFrame) -> None:
+            overwrite_table(df, step.destination, table_format)
+
         with scratch(spark):
             df = spark.sql(step.query) if isinstance(step.query, str) else step.query(spark)
-            overwrite_table(df, step.destination, table_format)
+            if runner is None or step.checks is None:
+                write(df)
+            else:
+                written = partial(spark.table, step.destination)
+                runner.check_while_writing(df, step.checks, write, written)
 
     _each(run, transformations, at_once)
 

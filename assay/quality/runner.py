@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections import Counter
 from collections.abc import Callable, Sequence
+from copy import copy
 from datetime import datetime, timezone
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from assay.quality import audit_log, checks
@@ -56,6 +58,7 @@ class QualityRunner:
         self.spark = spark
         self.layer = layer
         self.table_name = table_name
+        self._may_be_repeated = run_id is not None  # a new id has nothing in the log
         self.run_id = run_id or str(uuid.uuid4())
         self.run_timestamp = run_timestamp or datetime.now(timezone.utc)
         self.pipeline_run_id = pipeline_run_id or MANUAL
@@ -65,6 +68,7 @@ class QualityRunner:
         self.log_format = log_format
         self._declared: list[checks.Check] = []
         self._results: list[dict[str, Any]] = []
+        self._saved: Counter = Counter()
 
     def check_row_count(
         self,
@@ -130,6 +134,42 @@ class QualityRunner:
             checks.referential_integrity(df, table, fk_col, ref_df, pk_col, severity)
         )
 
+    def check_while_writing(
+        self,
+        df: DataFrame,
+        declare: Callable[[QualityRunner, DataFrame], Any],
+        write: Callable[[DataFrame], None],
+        read: Callable[[], DataFrame],
+    ) -> QualityRunner:
+        """Write ``df`` and check it; what a plain scan would count is counted as the rows pass.
+
+        ``declare`` calls check methods on the runner and the DataFrame it is given, ``write`` writes the
+        one it is given, and ``read`` returns what was written. Row counts, nulls and values come from
+        the write itself, where each row that is kept counts once, also if tasks are retried. Keys and
+        references are checked on what was written, as are the plain counts of other DataFrames. If
+        writing fails nothing is declared.
+        """
+        declared = self._declared_by(declare, df)
+        plain = [k for k, check in enumerate(declared) if check.df is df and check.is_plain]
+        seen = Observation()
+        if plain:
+            counts = [declared[k].counted.alias(f"failed_{k}") for k in plain]
+            write(df.observe(seen, F.count(F.lit(1)).alias("total"), *counts))
+        else:
+            write(df)
+        written = self._declared_by(declare, read())
+        if [c.check_name for c in written] != [c.check_name for c in declared]:
+            raise ValueError("the same checks must be declared on each call")
+        for k in plain:
+            written[k] = written[k].known(seen.get["total"], seen.get[f"failed_{k}"])
+        return self._declare(*written)
+
+    def _declared_by(self, declare, df: DataFrame) -> list[checks.Check]:
+        apart = copy(self)
+        apart._declared = []
+        declare(apart, df)
+        return apart._declared
+
     def report(self) -> DataFrame:
         """The declared checks' log entries as a lazy DataFrame; at least one must be declared."""
         entries = checks.outcomes(self._declared)
@@ -163,7 +203,9 @@ class QualityRunner:
 
         The entries are saved before anything is raised, and a second commit does not save them
         again. If saving fails they are kept, so that a repeated commit saves them and raises as the
-        first would have. Without checks nothing happens.
+        first would have. Nor are they saved again by another runner of the same ``run_id``, as after a
+        driver that was lost once they were in the log: what a run, layer, table and check have there
+        already, beyond what this runner itself has saved, is left out. Without checks nothing happens.
         """
         results = self.results
         stop = self.has_critical_failure
@@ -171,7 +213,11 @@ class QualityRunner:
             return results
         log = self.spark.createDataFrame(results, AUDIT_LOG).coalesce(1)
         audit_log.create_log(self.spark, self.log_table, self.log_format)
-        append_rows(log, self.log_table)
+        fresh = log
+        if self._may_be_repeated:
+            fresh = audit_log.unsaved(log, self.spark.table(self.log_table), self._saved)
+        append_rows(fresh, self.log_table)
+        self._saved.update(audit_log.entry_key(r) for r in results)
         self._results = []
         passed = sum(r["status"] == checks.PASSED for r in results)
         logger.info(

@@ -1,7 +1,7 @@
 import random
 import re
 from collections import Counter, defaultdict
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -72,6 +72,42 @@ def test_validity_ends(spark, many_partitions, seed, limits):
     assert rows_of(found) == ends_by_hand(rows)
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize(
+    "limits",
+    [{}, ALL_HOT, {"rows_per_task": 7, "sample": 1.0}, {"rows_per_task": 100, "sample": 1.0}],
+    ids=["window", "position", "blocks", "both"],
+)
+def test_validity_ends_of_times(spark, many_partitions, kind, limits):
+    pick = random.Random(len(limits))
+    rows = []
+    for number in range(500):
+        key = pick.choice(["hot", "hot", "hot", None, *"abcdefg"])
+        moment = datetime(2020, 1, 1) + timedelta(seconds=pick.randrange(400_000))
+        rows.append((key, None if pick.random() < 0.05 else moment, pick.choice([None, 1, number]), "x"))
+    rows += rows[:150]
+    df = spark.createDataFrame(rows, VERSIONS.replace("date", kind)).repartition(5)
+    found = with_validity_end(df, ["key"], "start", "end", ["tie", "payload"], **limits)
+    want = Counter()
+    for row, count in ends_by_hand(rows).items():
+        want[(*row[:-1], row[-1] and row[-1].date())] += count
+    assert rows_of(found) == want
+
+
+def test_a_hot_key_of_times_is_dealt_evenly(spark, many_partitions):
+    """Blocks of positions, not keys, go to the tasks."""
+    moments = spark.range(0, 20_000, 1, 4).select(
+        F.lit("hot").alias("key"),
+        (F.lit(datetime(2020, 1, 1)) + F.make_dt_interval(secs=F.col("id").cast("decimal(18,6)"))).alias("start"),
+        "id",
+    )
+    found = with_validity_end(moments, ["key"], "start", "end", ["id"], rows_per_task=500, sample=1.0)
+    sizes = found.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == 20_000
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) <= 3 * 20_000 / 4
+    assert found.where("end IS NULL").count() == 1
+
+
 @pytest.mark.parametrize("limits", [{}, ALL_HOT])
 def test_validity_of_single_and_no_rows(spark, limits):
     one = spark.createDataFrame([("a", date(2020, 1, 1), 1, "x")], VERSIONS)

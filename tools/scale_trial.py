@@ -58,6 +58,14 @@ def main() -> None:
         in_order = Window.partitionBy("key").orderBy("start", *ties)
         return rows.withColumn("end", F.date_sub(F.lead("start").over(in_order), 1))
 
+    times = rows.withColumn(
+        "start", F.timestamp_seconds(F.unix_date("start") * 86_400 + F.col("number") % 86_400)
+    )
+
+    def window_end_of_times():
+        in_order = Window.partitionBy("key").orderBy("start", *ties)
+        return times.withColumn("end", F.date_sub(F.lead("start").over(in_order), 1))
+
     def latest_by_max():
         newest = F.max(F.struct("start", *ties)).alias("newest")
         return rows.groupBy("key").agg(newest).select("key", "newest.*")
@@ -72,6 +80,11 @@ def main() -> None:
     few = rows.groupBy("key").agg(F.max("l_suppkey").alias("supplier"))
 
     compare("validity end", lambda: with_validity_end(rows, ["key"], "start", "end", ties), window_end)
+    compare(
+        "validity end of times",
+        lambda: with_validity_end(times, ["key"], "start", "end", ties),
+        window_end_of_times,
+    )
     compare("latest per key", lambda: latest_per_key(rows, ["key"], ["start"]), latest_by_max)
     compare(
         "surrogate key",

@@ -168,6 +168,13 @@ ORACLE: dict[str, str] = {
           CAST(lead(CAST(o_orderdate AS DATE)) OVER (PARTITION BY o_custkey
             ORDER BY CAST(o_orderdate AS DATE), o_orderkey) - 1 AS DATE) AS valid_to
         FROM orders""",
+    "silver_validity_of_times": """
+        SELECT event_id, user_id, strftime(moment, '%Y-%m-%d %H:%M:%S') AS valid_from,
+          CAST(CAST(lead(moment) OVER (PARTITION BY user_id ORDER BY moment NULLS FIRST, event_id)
+            AS DATE) - 1 AS DATE) AS valid_to
+        FROM (SELECT event_id, CASE WHEN event_type <> 'click' THEN user_id END AS user_id,
+                CASE WHEN event_id % 97 <> 0 THEN ts + to_seconds(event_id % 86400) END AS moment
+              FROM events)""",
     "silver_crm_sales_details": select_from("silver_sales"),
     "silver_crm_prd_info": select_from("silver_products"),
     "silver_crm_cust_info": select_from("silver_customers"),
@@ -190,6 +197,9 @@ ORACLE: dict[str, str] = {
     "dq_nulls": _checks(
         f"{_COLUMNS}, column_name, CAST(failure_rate AS DOUBLE) AS null_rate, threshold", "nulls"
     ),
+    "dq_checked_write": _checks(
+        f"{_COLUMNS}, column_name, CAST(failure_rate AS DOUBLE) AS null_rate, threshold", "nulls"
+    ),
     "dq_duplicates": _checks(f"{_COLUMNS}, details", "duplicates"),
     "dq_value_set": _checks(f"{_COLUMNS}, details", "value_set"),
     "dq_ref_integrity": _checks(f"{_COLUMNS}, details", "references"),
