@@ -11,10 +11,10 @@ also occurs in a document with a smaller id.
    document, a window goes if it occurs in another context of the same anchor from an earlier
    document. Only such contexts matter that agree with another one on the 16 bytes before or behind
    the anchor, since a window holds one of these.
-3. Their texts are sorted as suffix arrays, built by linear grouping, in batches of whole anchors;
-   runs of suffixes that share ``LENGTH`` bytes are equal windows, and the least document of a run is
-   known. An anchor with more contexts than a batch holds is cut, and its runs are settled across
-   batches by their hash.
+3. Their texts, trimmed to what each shares with any other, are sorted as suffix arrays, built by
+   linear grouping, in batches of whole anchors; runs of suffixes that share ``LENGTH`` bytes are equal
+   windows, and the least document of a run is known. An anchor with too many contexts for memory is
+   cut, and its runs are settled across batches by their hash.
 4. Documents with findings look the contexts up again and drop the bytes covered.
 """
 
@@ -37,12 +37,16 @@ from assay.session import stage
 LENGTH = 50
 GRAM = 16
 BATCH_BYTES = 1 << 16
+PARTS = 16  # an anchor's trimmed contexts may take so many batches, and untrimmed ones as many times more
 BLOCK_BYTES = 1 << 22  # of texts hashed together
 SIDE_BITS = 6
 
 # Any odd numbers with mixed bits do.
 MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
+# A text, and the contexts it stands in: (context, document, its first window's place there).
+Entry = tuple[bytes, list[tuple[int, int, int]]]
+
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
@@ -240,7 +244,7 @@ def _within(rows: DataFrame, first: DataFrame, length: int, batch: int) -> DataF
         .select("doc_id", "packed", "context", "before", "behind")
         .mapInArrow(
             partial(_cut_out, length=length),
-            "hash long, context long, doc_id long, shift long, text binary",
+            "hash long, context long, doc_id long, shift long, anchor long, text binary",
         )
         .repartition("hash")
         .sortWithinPartitions("hash", "context")
@@ -300,7 +304,7 @@ def _contexts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
 
 def _cut_out(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """The texts of the contexts wanted, cut to the windows with the side on which they have a like."""
-    names = ["hash", "context", "doc_id", "shift", "text"]
+    names = ["hash", "context", "doc_id", "shift", "anchor", "text"]
     for part in records(batches):
         whole = _unpacked(part.column(1))
         ids = part.column(0).to_pylist()
@@ -323,9 +327,9 @@ def _cut_out(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
                     if not behind:  # only windows that reach before it
                         end = min(end, anchor - GRAM + length)
                     if end - cut >= length:
-                        made.append(
-                            (int(found.hash[i].view(np.int64)), context, ids[row], cut - start, found.text[cut:end])
-                        )
+                        key = int(found.hash[i].view(np.int64))
+                        text = found.text[cut:end]
+                        made.append((key, context, ids[row], cut - start, anchor - cut, text))
             if made:
                 yield pa.record_batch(
                     [pa.array(c, pa.binary() if n == "text" else pa.int64()) for c, n in zip(zip(*made), names)],
@@ -336,92 +340,153 @@ def _cut_out(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
 def _equal_windows(
     batches: Iterator[pa.RecordBatch], length: int, most: int
 ) -> Iterator[pa.RecordBatch]:
-    """Batches of contexts, anchors kept whole where they fit, and the windows they share."""
-    held: list[tuple] = []  # whole anchors
-    group: list[tuple] = []  # the contexts of the present one
+    """Batches of whole anchors, or parts of one too large, and the windows their contexts share."""
+    held: list[Entry] = []
+    group: list[tuple] = []  # the contexts of the present anchor
     size = group_size = 0
     cut = False
     present = last = None
 
-    def rows(contexts: list[tuple], cut: bool) -> Iterator[pa.RecordBatch]:
-        if len(contexts) > 1 or cut:
-            yield from _shared_windows(contexts, length, cut)
-
-    for part in records(batches):
-        for hash_, context, doc_id, shift, text in zip(*(part.column(k).to_pylist() for k in range(5))):
+    def whole() -> Iterator[pa.RecordBatch]:
+        nonlocal held, size
+        if held:
+            yield from _shared_windows(held, length, False)
+        held, size = [], 0
+
+    def finished() -> Iterator[pa.RecordBatch]:
+        """The present anchor is complete."""
+        nonlocal size
+        entries = _untrimmed(group) if cut else _trimmed(group, length) if len(group) > 1 else []
+        total = sum(len(text) for text, _ in entries)
+        if cut or total > PARTS * most:
+            yield from parts(entries)
+        else:
+            held.extend(entries)
+            size += total
+            if size > most:
+                yield from whole()
+
+    def parts(entries: list[Entry]) -> Iterator[pa.RecordBatch]:
+        part, total = [], 0
+        for entry in entries:
+            part.append(entry)
+            total += len(entry[0])
+            if total > most:
+                yield from _shared_windows(part, length, True)
+                part, total = [], 0
+        if part:
+            yield from _shared_windows(part, length, True)
+
+    for batch in records(batches):
+        for hash_, context, *rest in zip(*(batch.column(k).to_pylist() for k in range(6))):
             if (hash_, context) == last:
                 continue  # from a repeated row
             last = (hash_, context)
             if hash_ != present:
-                if cut:
-                    yield from rows(group, True)
-                elif len(group) > 1:
-                    held += group
-                    size += group_size
+                yield from finished()
                 present, group, group_size, cut = hash_, [], 0, False
-            elif group_size > most:
-                yield from rows(group, True)
-                group, group_size, cut = [], 0, True
-            if size > most:
-                yield from rows(held, False)
-                held, size = [], 0
-            group.append((context, doc_id, shift, text))
-            group_size += len(text)
-    if cut:
-        yield from rows(group, True)
-    elif len(group) > 1:
-        held += group
-    yield from rows(held, False)
-
-
-def _shared_windows(contexts: list[tuple], length: int, cut: bool) -> Iterator[pa.RecordBatch]:
-    """The suffix array of the contexts, and its runs of suffixes that share ``length`` bytes."""
-    ids, documents, shifts, parts = zip(*contexts)
+            elif group_size > PARTS**2 * most:
+                cut = True
+                yield from parts(_untrimmed(group))
+                group, group_size = [], 0
+            group.append((context, *rest))
+            group_size += len(rest[-1])
+    yield from finished()
+    yield from whole()
+
+
+def _untrimmed(contexts: list[tuple]) -> list[Entry]:
+    return [(text, [(context, doc_id, shift)]) for context, doc_id, shift, _, text in contexts]
+
+
+def _trimmed(contexts: list[tuple], length: int) -> list[Entry]:
+    """Contexts of one anchor, cut to what each has in common with another on either side of it.
+
+    Sorted by what stands behind the anchor, a context's nearest neighbour shares most of that; sorted by
+    what stands before it, backwards, likewise. What becomes equal is one text.
+    """
+    ats = [at for _, _, _, at, _ in contexts]
+    texts_ = [text for *_, text in contexts]
+    before = _longest_common([t[:at][::-1] for at, t in zip(ats, texts_)], length)
+    behind = _longest_common([t[at + GRAM :] for at, t in zip(ats, texts_)], length)
+    entries: dict[bytes, list] = {}
+    for (context, doc_id, shift, at, text), left, right in zip(contexts, before, behind):
+        if left + GRAM + right >= length:
+            cut = text[at - left : at + GRAM + right]
+            entries.setdefault(cut, []).append((context, doc_id, shift + at - left))
+    return list(entries.items())
+
+
+def _longest_common(strings: list[bytes], length: int) -> list[int]:
+    """For each string the length of its longest common prefix with another one."""
+    numbers = [int.from_bytes(s.ljust(length, b"\0"), "big") for s in strings]
+    order = sorted(range(len(strings)), key=numbers.__getitem__)
+    longest = [0] * len(strings)
+    for i, j in zip(order, order[1:]):
+        equal = length - ((numbers[i] ^ numbers[j]).bit_length() + 7) // 8
+        equal = min(equal, len(strings[i]), len(strings[j]))
+        longest[i] = max(longest[i], equal)
+        longest[j] = equal
+    return longest
+
+
+def _shared_windows(entries: list[Entry], length: int, cut: bool) -> Iterator[pa.RecordBatch]:
+    """The suffix array of some texts, and its runs of suffixes that share ``length`` bytes.
+
+    Where a part of an anchor is ``cut`` off from others, the first document of a run is not known to
+    be the first of all, so the run's hash goes along with it.
+    """
+    parts = [text for text, _ in entries]
     sizes = np.array([len(p) for p in parts])
-    # symbols: 0 ends the whole, 1 ends a context, and a byte is two more than its value
+    # symbols: 0 ends the whole, 1 ends a text, and a byte is two more than its value
     begin = np.cumsum(sizes + 1) - sizes - 1
     data = np.frombuffer(b"\0".join(parts) + b"\0", np.uint8)
     symbols = data.astype(np.int64) + 2
     symbols[begin + sizes] = 1
     order = np.array(suffix_array([*symbols.tolist(), 0]))[1:]
     owner = np.repeat(np.arange(len(parts)), sizes + 1)
-    window = order - begin[owner[order]]
-    order = order[window + length <= sizes[owner[order]]]
-    owner = owner[order]
+    order = order[order - begin[owner[order]] + length <= sizes[owner[order]]]
     words = np.lib.stride_tricks.sliding_window_view(np.append(data, np.zeros(8, np.uint8)), 8)
     words = np.ascontiguousarray(words).view("<u8")[:, 0]
     steps = [*range(0, length - 8, 8), length - 8]
-    new = np.ones(len(order), bool)
-    equal = np.ones(max(len(order) - 1, 0), bool)
+    equal = np.ones(len(order) - 1, bool)
     for step in steps:
         here = words[order + step]
         equal &= here[1:] == here[:-1]
-    new[1:] = ~equal
-    runs = np.flatnonzero(new)
-    documents_, shifts_, ids_ = np.array(documents), np.array(shifts), np.array(ids)
-    document = documents_[owner]
-    least = np.minimum.reduceat(document, runs) if len(runs) else document
-    run = np.cumsum(new) - 1
-    bit = np.left_shift(np.int64(1), order - begin[owner] + shifts_[owner])
+    new = np.append(True, ~equal)
+    first = np.array([min(doc_id for _, doc_id, _ in members) for _, members in entries])
+    least = np.minimum.reduceat(first[owner[order]], np.flatnonzero(new))[np.cumsum(new) - 1]
+    earliest = np.zeros(len(data), np.int64)  # of each window, by where it begins
+    earliest[order] = least
+    found, open_ = [], []
+    for k, (text, members) in enumerate(entries):
+        windows = earliest[begin[k] : begin[k] + len(text) - length + 1].tolist()
+        low, high, all_ = min(windows), max(windows), (1 << len(windows)) - 1
+        for context, doc_id, shift in members:
+            if doc_id > high:
+                found.append((doc_id, context, all_ << shift))
+            elif doc_id > low:
+                bits = sum(1 << j for j, w in enumerate(windows) if w < doc_id)
+                found.append((doc_id, context, bits << shift))
+            if cut and doc_id <= high:
+                at = int(begin[k])
+                open_ += [
+                    (doc_id, context, 1 << (j + shift), w, at + j) for j, w in enumerate(windows) if w == doc_id
+                ]
     names = ["doc_id", "context", "windows", "least", "wa", "wb"]
-    if cut:
-        keys = []
+    if found:
+        columns = [pa.array(c, pa.int64()) for c in zip(*found)]
+        yield pa.record_batch([*columns, *[pa.nulls(len(found), pa.int64())] * 3], names)
+    if open_:
+        *columns, at = zip(*open_)
+        at, keys = np.array(at), []
         for seed in (1, 2):
-            key = np.full(len(order), seed, np.uint64)
+            key = np.full(len(at), seed, np.uint64)
             for step in steps:
-                key = (key ^ words[order + step]) * MIX[seed]
+                key = (key ^ words[at + step]) * MIX[seed]
                 key ^= key >> np.uint64(29)
-            keys.append((key * MIX[0]).view(np.int64))
-        columns = [document, ids_[owner], bit, least[run], *keys]
-        yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names)
-        return
-    going = least[run] < document
-    bits = np.zeros(len(parts), np.int64)
-    np.bitwise_or.at(bits, owner[going], bit[going])
-    some = np.flatnonzero(bits)
-    none = pa.nulls(len(some), pa.int64())
-    columns = [pa.array(c, pa.int64()) for c in (documents_[some], ids_[some], bits[some])]
-    yield pa.record_batch([*columns, none, none, none], names)
+            keys.append(pa.array((key * MIX[0]).view(np.int64)))
+        yield pa.record_batch([*(pa.array(c, pa.int64()) for c in columns), *keys], names)
 
 
 def _kept(
