@@ -9,6 +9,7 @@ from assay.operators import hot_keys
 
 # Rows of one key, of either side, that a salted group holds at least.
 LEAST_PER_GROUP = 50
+NO_KEY = "[]"
 
 
 def left_lookup(
@@ -18,6 +19,7 @@ def left_lookup(
     right_key: str,
     rows_per_task: int = hot_keys.ROWS_PER_TASK,
     sample: float = hot_keys.SAMPLE,
+    hot_note: str | None = None,
 ) -> DataFrame:
     """Left equi-join that drops ``right_key``; other column names must not overlap.
 
@@ -26,15 +28,21 @@ def left_lookup(
     (NULL too) is split by adaptive execution. It cannot split the right side of a left join, so
     rows of keys hot in ``right`` are dealt over salted groups, as many as their number asks for, and
     rows that look them up go to each of these; copies that find nothing are dropped, since such a
-    key has a match. Both sides are read once. The search for such keys, a sample of the key of
-    ``right``, is left out where Spark expects to broadcast ``right``.
+    key has a match. Both sides are read once. Which keys are hot a ``hot_note`` says that was taken as
+    ``right`` was written (``hot_keys.to_note``); without one they are searched for in a sample of the
+    key of ``right``, unless its inputs are small enough to broadcast.
     """
     shared = set(left.columns) & set(right.columns)
     if shared:
         raise ValueError(f"both sides have columns {sorted(shared)}")
     right = right.where(F.col(right_key).isNotNull())
-    searched = rows_per_task < hot_keys.ROWS_PER_TASK or not hot_keys.may_be_broadcast(right)
-    hot = hot_keys.find_hot_keys(right, [right_key], rows_per_task, sample) if searched else None
+    hot = None
+    if hot_note is not None:
+        if hot_note != NO_KEY:
+            kind = right.schema[right_key].dataType
+            hot = hot_keys.from_note(right.sparkSession, hot_note, right_key, kind)
+    elif rows_per_task < hot_keys.ROWS_PER_TASK or hot_keys.may_hold_hot_keys(right):
+        hot = hot_keys.find_hot_keys(right, [right_key], rows_per_task, sample)
     if hot is None:
         return _plain_lookup(left, right, left_key, right_key)
 

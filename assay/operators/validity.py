@@ -30,13 +30,13 @@ def with_validity_end(
     Versions of one key follow each other by ``start`` (a date or time, NULL first), then by
     ``tie_breakers``, then by their hash. Ordinary keys take one window, a single shuffle. A key too
     large for one task takes the way of ``_end_by_calendar`` if starts are dates, and of
-    ``_end_by_position`` if they are times; the result is the same. No search for such keys where Spark
-    expects the whole table to be small enough to broadcast.
+    ``_end_by_position`` if they are times; the result is the same. No search for such keys where
+    the inputs are small enough to broadcast.
     """
     kind = df.schema[start].dataType
     if not isinstance(kind, T.DateType | T.TimestampType | T.TimestampNTZType):
         raise TypeError(f"{start} must be a date or a time")
-    searched = rows_per_task < hot_keys.ROWS_PER_TASK or not hot_keys.may_be_broadcast(df)
+    searched = rows_per_task < hot_keys.ROWS_PER_TASK or hot_keys.may_hold_hot_keys(df)
     hot = hot_keys.find_hot_keys(df, keys, rows_per_task, sample) if searched else None
     rows = df.withColumn("_hash", row_hash(df))
     ranks = [*tie_breakers, "_hash"]

@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assay.functions import preferred_label
 from assay.operators import left_lookup, with_surrogate_key
 
+# What is known of hot keys, by the argument they are in; see ``left_lookup``.
+HotNotes = Mapping[str, str | None]
+NO_NOTES: HotNotes = {}
+
 
 def dim_products(
-    products: DataFrame, categories: DataFrame, end_column: str = "prd_end_dt"
+    products: DataFrame,
+    categories: DataFrame,
+    end_column: str = "prd_end_dt",
+    hot: HotNotes = NO_NOTES,
 ) -> DataFrame:
     """Current product versions with their category."""
     current = products.where(F.col(end_column).isNull())
-    described = left_lookup(current, categories, "cat_id", "ID").select(
+    described = left_lookup(
+        current, categories, "cat_id", "ID", hot_note=hot.get("categories")
+    ).select(
         F.col("prd_id").alias("product_id"),
         F.col("prd_key").alias("product_number"),
         F.col("prd_nm").alias("product_name"),
@@ -35,14 +46,19 @@ def dim_products(
 
 
 def dim_customers(
-    customers: DataFrame, locations: DataFrame, demographics: DataFrame
+    customers: DataFrame,
+    locations: DataFrame,
+    demographics: DataFrame,
+    hot: HotNotes = NO_NOTES,
 ) -> DataFrame:
     """Customers with country and birth date; the first system's gender wins where it has one."""
+    countries = locations.select(F.col("CID").alias("_loc"), "CNTRY")
+    persons = demographics.select(F.col("CID").alias("_az"), "BDATE", "GEN")
     located = left_lookup(
-        customers, locations.select(F.col("CID").alias("_loc"), "CNTRY"), "cst_key", "_loc"
+        customers, countries, "cst_key", "_loc", hot_note=hot.get("locations")
     )
     described = left_lookup(
-        located, demographics.select(F.col("CID").alias("_az"), "BDATE", "GEN"), "cst_key", "_az"
+        located, persons, "cst_key", "_az", hot_note=hot.get("demographics")
     ).select(
         F.col("cst_id").alias("customer_id"),
         F.col("cst_key").alias("customer_number"),
@@ -62,12 +78,18 @@ def dim_customers(
     )
 
 
-def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
+def fact_sales(
+    sales: DataFrame, products: DataFrame, customers: DataFrame, hot: HotNotes = NO_NOTES
+) -> DataFrame:
     """Sales with the current keys of both dimensions; a sale without a match keeps a NULL key."""
     product_keys = products.select("product_number", "product_key")
     customer_keys = customers.select("customer_id", "customer_key")
-    keyed = left_lookup(sales, product_keys, "sls_prd_key", "product_number")
-    keyed = left_lookup(keyed, customer_keys, "sls_cust_id", "customer_id")
+    keyed = left_lookup(
+        sales, product_keys, "sls_prd_key", "product_number", hot_note=hot.get("products")
+    )
+    keyed = left_lookup(
+        keyed, customer_keys, "sls_cust_id", "customer_id", hot_note=hot.get("customers")
+    )
     return keyed.select(
         F.col("sls_ord_num").alias("order_number"),
         "product_key",

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from assay.operators import hot_keys
 from assay.plans import gold, silver
 from assay.plans.names import (
     BRONZE,
@@ -40,9 +41,10 @@ from assay.sources import (
     typed,
 )
 from assay.sources.csv_files import wider_types, widths
-from assay.sources.tables import DEFAULT_FORMAT, in_place
+from assay.sources.tables import DEFAULT_FORMAT, in_place, note
 
 CORRUPT_COLUMN = "_malformed"
+HOT_NOTE = "hot."
 
 
 @dataclass(frozen=True)
@@ -65,12 +67,14 @@ class CsvSource:
 class Transformation:
     """A table and the query that fills it: SQL text, or a function of the session.
 
-    ``checks(runner, df)`` declares checks of the table's rows, if ``transform`` is given a runner.
+    ``checks(runner, df)`` declares checks of the table's rows, if ``transform`` is given a runner. If
+    others look the table up by ``lookup_key``, its most frequent values are noted as it is written.
     """
 
     destination: str
     query: str | Callable[[SparkSession], DataFrame]
     checks: Callable[[QualityRunner, DataFrame], Any] | None = None
+    lookup_key: str | None = None
 
 
 def bronze_sources(
@@ -105,7 +109,9 @@ def silver_transformations(
     def cleaned(table: str, clean: Callable[..., DataFrame], **options) -> Transformation:
         source = names.table(BRONZE, table)
         return Transformation(
-            names.table(SILVER, table), lambda spark: clean(spark.table(source), **options)
+            names.table(SILVER, table),
+            lambda spark: clean(spark.table(source), **options),
+            lookup_key=LOOKUP_KEYS[SILVER].get(table),
         )
 
     return [
@@ -128,8 +134,24 @@ def gold_transformations(
         names.table(GOLD, t) for t in (DIM_PRODUCTS, DIM_CUSTOMERS, FACT_SALES)
     )
 
+    looked_up = {
+        "categories": (names.table(SILVER, "erp_px_cat_g1v2"), "ID"),
+        "locations": (names.table(SILVER, "erp_loc_a101"), "CID"),
+        "demographics": (names.table(SILVER, "erp_cust_az12"), "CID"),
+        "products": (dim_products, LOOKUP_KEYS[GOLD][DIM_PRODUCTS]),
+        "customers": (dim_customers, LOOKUP_KEYS[GOLD][DIM_CUSTOMERS]),
+    }
+
     def from_tables(build: Callable[..., DataFrame], *tables: str, **options):
-        return lambda spark: build(*(spark.table(t) for t in tables), **options)
+        def query(spark: SparkSession) -> DataFrame:
+            hot = {
+                argument: note(spark, table, HOT_NOTE + key)
+                for argument, (table, key) in looked_up.items()
+                if table in tables
+            }
+            return build(*(spark.table(t) for t in tables), hot=hot, **options)
+
+        return query
 
     def cleaned(table: str) -> str:
         return names.table(SILVER, table)
@@ -143,6 +165,7 @@ def gold_transformations(
                 cleaned("erp_px_cat_g1v2"),
                 end_column=product_end_column,
             ),
+            lookup_key=LOOKUP_KEYS[GOLD][DIM_PRODUCTS],
         ),
         Transformation(
             dim_customers,
@@ -152,6 +175,7 @@ def gold_transformations(
                 cleaned("erp_loc_a101"),
                 cleaned("erp_cust_az12"),
             ),
+            lookup_key=LOOKUP_KEYS[GOLD][DIM_CUSTOMERS],
         ),
         Transformation(
             fact,
@@ -222,7 +246,18 @@ def transform(
         _prepare(spark, step.destination)
 
         def write(df: DataFrame) -> None:
-            overwrite_table(df, step.destination, table_format)
+            key = step.lookup_key
+            if key is None:
+                overwrite_table(df, step.destination, table_format)
+                return
+            seen = Observation()
+            noted = df.observe(seen, hot_keys.frequency_sketch(key).alias("keys"))
+            overwrite_table(
+                noted,
+                step.destination,
+                table_format,
+                notes=lambda: {HOT_NOTE + key: hot_keys.to_note(seen.get["keys"])},
+            )
 
         with scratch(spark):
             df = spark.sql(step.query) if isinstance(step.query, str) else step.query(spark)

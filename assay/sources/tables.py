@@ -13,7 +13,7 @@ import logging
 import re
 import time
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +26,7 @@ SESSION_CATALOG = "spark_catalog"
 
 # Properties of the view: the table it shows, and the one it showed before.
 SHOWN, BEFORE = "assay.version", "assay.before"
+NOTE = "assay.note."
 VERSION = "__v"
 
 logger = logging.getLogger(__name__)
@@ -43,17 +44,22 @@ def overwrite_table(
     table_format: str = DEFAULT_FORMAT,
     partition_by: Sequence[str] = (),
     revise: Callable[[], DataFrame | None] | None = None,
+    notes: Callable[[], Mapping[str, str]] | None = None,
 ) -> None:
     """Full load: replace the table's rows and schema. A load that fails leaves the old ones.
 
     ``revise`` is called once the rows are written, before anyone sees them, and may return others to
-    load in their place. One load of a name may run at a time. Names have one, two or three parts.
+    load in their place. ``notes`` is called after that, and what it returns can be read with ``note``
+    as long as these rows stand under the name. One load of a name may run at a time. Names have one, two or three parts.
     """
     spark = df.sparkSession
     if in_place(spark, table, table_format):
         _writer(df, table_format, partition_by).saveAsTable(table)
         if revise is not None and (other := revise()) is not None:
             _writer(other, table_format, partition_by).saveAsTable(table)
+        if notes is not None:
+            listed = ", ".join(f"'{NOTE}{key}' = '{_quoted(v)}'" for key, v in notes().items())
+            spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")
         return
     version = _load(df, table, table_format, partition_by)
     if revise is not None:
@@ -66,7 +72,7 @@ def overwrite_table(
             _drop_version(spark, version)
             version = _load(other, table, table_format, partition_by)
     try:
-        before = _show(spark, table, version)
+        before = _show(spark, table, version, notes() if notes is not None else {})
     except Exception:
         _drop_version(spark, version)
         raise
@@ -110,6 +116,11 @@ def shown_version(spark: SparkSession, table: str) -> str | None:
     return _properties(spark, table).get(SHOWN)
 
 
+def note(spark: SparkSession, table: str, key: str) -> str | None:
+    """What the present load of a table noted under a key; None if nothing."""
+    return _properties(spark, table).get(NOTE + key)
+
+
 def _writer(df: DataFrame, table_format: str, partition_by: Sequence[str]):
     writer = df.write.mode("overwrite").format(table_format)
     return writer.partitionBy(*partition_by) if partition_by else writer
@@ -134,23 +145,33 @@ def _load(df: DataFrame, table: str, table_format: str, partition_by: Sequence[s
     return full
 
 
-def _show(spark: SparkSession, table: str, version: str) -> str | None:
+def _show(spark: SparkSession, table: str, version: str, notes: Mapping[str, str]) -> str | None:
     """Make the name show a version, and return the one it showed."""
     if _kind(spark, table) not in ("", "VIEW"):
-        return _replace_plain_table(spark, table, version)
+        return _replace_plain_table(spark, table, version, notes)
     before = shown_version(spark, table)
-    _point(spark, table, version, before)
+    _point(spark, table, version, before, notes)
     return before
 
 
-def _point(spark: SparkSession, table: str, version: str, before: str | None) -> None:
-    properties = f"'{SHOWN}' = '{version}'" + (f", '{BEFORE}' = '{before}'" if before else "")
+def _point(
+    spark: SparkSession, table: str, version: str, before: str | None, notes: Mapping[str, str]
+) -> None:
+    properties = {SHOWN: version, **({BEFORE: before} if before else {})}
+    properties |= {NOTE + key: _quoted(value) for key, value in notes.items()}
+    listed = ", ".join(f"'{key}' = '{value}'" for key, value in properties.items())
     spark.sql(
-        f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ({properties}) AS SELECT * FROM {version}"
+        f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ({listed}) AS SELECT * FROM {version}"
     )
 
 
-def _replace_plain_table(spark: SparkSession, table: str, version: str) -> str:
+def _quoted(value: str) -> str:
+    return value.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _replace_plain_table(
+    spark: SparkSession, table: str, version: str, notes: Mapping[str, str]
+) -> str:
     """The same once for a name that is a table made by other means, which steps aside.
 
     The catalog has no single call for this; if the second one fails the first is undone.
@@ -161,7 +182,7 @@ def _replace_plain_table(spark: SparkSession, table: str, version: str) -> str:
     target = f"{short}.{aside.rpartition('.')[2]}"
     spark.sql(f"ALTER TABLE {table} RENAME TO {target}")
     try:
-        _point(spark, table, version, aside)
+        _point(spark, table, version, aside, notes)
     except Exception:
         spark.sql(f"ALTER TABLE {aside} RENAME TO {short}.{name}")
         raise
@@ -207,7 +228,7 @@ def _kind(spark: SparkSession, table: str) -> str:
 
 
 def _properties(spark: SparkSession, table: str) -> dict[str, str]:
-    if _kind(spark, table) != "VIEW":
+    if not _kind(spark, table):
         return {}
     schema, name = _split(spark, table)
     return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {schema}.{name}").collect()}

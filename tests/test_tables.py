@@ -9,6 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
 
+from assay.operators import hot_keys, left_lookup
 from assay.plans import layers
 from assay.plans.names import Names
 from assay.quality import QualityRunner
@@ -144,6 +145,47 @@ def test_a_second_run_under_a_catalog(spark, landing):  # noqa: F811
     assert found[0] == found[1] and sum(found[0][2].values()) == 5
 
 
+def test_notes_stand_as_long_as_their_rows(spark, schema):
+    name, text = "spark_catalog.loads.noted", "[[\"it's \\\\ here\", 3]]"
+    overwrite_table(rows(spark, 1), name, notes=lambda: {"k": text})
+    assert tables.note(spark, name, "k") == text
+    overwrite_table(rows(spark, 2), name)
+    assert tables.note(spark, name, "k") is None
+    assert tables.note(spark, "loads.no_such", "k") is None
+
+
+def test_hot_keys_are_noted_while_their_table_is_written(spark, schema, monkeypatch):
+    """And no job looks for them when the table is looked up."""
+    monkeypatch.setattr(hot_keys.to_note, "__defaults__", (100,))
+    values = [("hot", k) for k in range(400)] + [(f"k{k}", k) for k in range(300)] + [(None, 1)] * 200
+    right = spark.createDataFrame(values, "pk string, v int").repartition(5)
+    step = layers.Transformation("loads.looked_up", lambda _: right, lookup_key="pk")
+    layers.transform(spark, [step])
+    found = tables.note(spark, "loads.looked_up", "hot.pk")
+    assert found == '[["hot", 400]]'
+    left = spark.createDataFrame([("hot", 1), ("k7", 2), ("none", 3), (None, 4)], "fk string, n int")
+    plain = left_lookup(left, spark.table("loads.looked_up"), "fk", "pk", hot_note="[]")
+
+    def no_search(*args, **kwargs):
+        raise AssertionError("searched")
+
+    monkeypatch.setattr(hot_keys, "find_hot_keys", no_search)
+    salted = left_lookup(left, spark.table("loads.looked_up"), "fk", "pk", 100, hot_note=found)
+    assert "_salt" in salted._jdf.queryExecution().toString()
+    assert Counter(map(tuple, salted.collect())) == Counter(map(tuple, plain.collect()))
+    assert salted.count() == 403
+
+
+def test_a_run_looks_for_no_hot_keys(spark, landing, monkeypatch):  # noqa: F811
+    searched = []
+    search = hot_keys.find_hot_keys
+    monkeypatch.setattr(hot_keys, "find_hot_keys", lambda df, keys, *a: searched.append(keys) or search(df, keys, *a))
+    monkeypatch.setattr(hot_keys, "may_hold_hot_keys", lambda df: True)
+    layers.run_all(spark, landing, Names(prefix="noted_"), as_of=date(2024, 1, 1))
+    assert searched == [["prd_key"]]  # the versions of a product, which no table is looked up by
+    assert tables.note(spark, "noted_gold.dim_customers", "hot.customer_id") == "[]"
+
+
 # CSV
 
 KINDS = StructType([
