@@ -497,33 +497,51 @@ def _kept(
         [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
          ("kept_sha256", pa.string()), ("kept", pa.binary())]
     )
-    for part in records(batches, 64):
+    for part in records(batches, 128):
         ids, contexts, windows = (part.column(k).to_pylist() for k in (0, 2, 3))
-        out = []
-        for k, text in enumerate(_unpacked(part.column(1))):
-            kept, removed, spans = text, 0, 0
-            if contexts[k]:
-                kept, removed, spans = _without(text, contexts[k], windows[k], length)
-            digest = hashlib.sha256(kept).hexdigest()
-            out.append((ids[k], len(text), removed, spans, digest, kept if texts_too else None))
+        whole = _unpacked(part.column(1))
+        results = [(text, 0, 0) for text in whole]
+        concerned = [k for k, c in enumerate(contexts) if c]
+        for block in _blocks([len(whole[k]) for k in concerned]):
+            some = concerned[block]
+            lost = [_added(contexts[k], windows[k]) for k in some]
+            for k, result in zip(some, _without([whole[k] for k in some], lost, length)):
+                results[k] = result
+        out = [
+            (i, len(text), removed, spans, hashlib.sha256(kept).hexdigest(), kept if texts_too else None)
+            for i, text, (kept, removed, spans) in zip(ids, whole, results)
+        ]
         if out:
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema)
 
 
-def _without(text: bytes, contexts: list[int], windows: list[int], length: int) -> tuple[bytes, int, int]:
-    found = Anchors([text], length)
+def _added(contexts: list[int], windows: list[int]) -> dict[int, int]:
     bits: dict[int, int] = {}
     for context, window in zip(contexts, windows):
         bits[context] = bits.get(context, 0) | window
-    going = np.array([bits.get(c, 0) for c in found.context.view(np.int64).tolist()], np.int64)
-    each = np.repeat(going, found.windows)
-    first = np.repeat(np.cumsum(found.windows) - found.windows, found.windows)
-    hit = (each >> (np.arange(len(each)) - first)) & 1 == 1
-    starts = np.flatnonzero(hit)  # windows begin at every place, in order
-    change = np.zeros(len(text) + 1, np.int64)
+    return bits
+
+
+def _without(
+    parts: list[bytes], lost: list[dict[int, int]], length: int
+) -> list[tuple[bytes, int, int]]:
+    """(what is kept, bytes removed, runs removed) of texts, given the windows lost of each context."""
+    found = Anchors(parts, length)
+    contexts = found.context.view(np.int64).tolist()
+    documents = found.document.tolist()
+    going = np.array([lost[d].get(c, 0) for d, c in zip(documents, contexts)], np.int64)
+    turn = np.arange(found.windows.sum()) - np.repeat(np.cumsum(found.windows) - found.windows, found.windows)
+    hit = (np.repeat(going, found.windows) >> turn) & 1 == 1
+    starts = _ranges(found.start, found.windows)[hit]
+    change = np.zeros(len(found.text) + 1, np.int8)
     change[starts] += 1
-    np.add.at(change, starts + length, -1)
-    gone = np.cumsum(change[:-1]) > 0
-    edges = np.diff(gone.astype(np.int8), prepend=0)
-    kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-    return kept, int(gone.sum()), int((edges == 1).sum())
+    change[starts + length] -= 1
+    gone = np.cumsum(change[:-1], dtype=np.int32) > 0
+    data = np.frombuffer(found.text, np.uint8)
+    out = []
+    for begin, part in zip(found.begin.tolist(), parts):
+        here = gone[begin : begin + len(part)]
+        spans = int(np.count_nonzero(here[1:] & ~here[:-1])) + int(len(here) > 0 and here[0])
+        kept = data[begin : begin + len(part)][~here].tobytes()
+        out.append((kept, int(np.count_nonzero(here)), spans))
+    return out
