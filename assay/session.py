@@ -7,7 +7,7 @@ import logging
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -90,6 +90,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_alone(make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """Stage what ``make`` returns, and remove what was staged on the way there."""
+    with noted() as paths:
+        made = stage(make(), label)
+    *used, kept = paths
+    inside = _scratch.get()
+    if inside is not None:
+        inside.append(kept)
+    for path in used:
+        remove(made.sparkSession, path)
+    return made
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing uses yet."""
     return f"{shared_folder(spark)}/assay-{label}-{uuid.uuid4().hex}"

@@ -1,6 +1,9 @@
+from pathlib import Path
+
 import pytest
 
 from assay import session
+from assay.session import noted, remove, shared_folder, stage, stage_alone
 
 
 class Conf(dict):
@@ -43,3 +46,15 @@ def test_staged_rows_are_fixed(spark):
     staged = session.stage(df, "test")
     assert sorted(staged.collect()) == sorted(staged.collect())
     assert staged.dtypes == df.dtypes
+
+
+def test_what_was_staged_on_the_way_goes(spark):
+    def make():
+        return stage(stage(spark.range(5), "one").where("id > 1"), "two").where("id > 2")
+
+    with noted() as paths:
+        kept = stage_alone(make, "three")
+    assert kept.count() == 2 and len(paths) == 1 and "three" in paths[0]
+    left = [p.name for p in Path(shared_folder(spark)).glob("assay-*")]
+    assert not [n for n in left if n.startswith(("assay-one", "assay-two"))]
+    remove(spark, paths[0])

@@ -73,9 +73,14 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(amount)
         .alias("sls_sales"),
         F.when((line == 1) & (F.col("l_discount") > 0.08), 0)
+        .when((line <= 4) & (F.col("l_discount") < 0.02), None)
         .otherwise(quantity)
         .alias("sls_quantity"),
-        F.when(line == 1, None).when(line == 2, -price).otherwise(price).alias("sls_price"),
+        F.when(line == 1, None)
+        .when(line == 2, -price)
+        .when((line >= 5) & (F.col("l_tax") > 0.07), 2_000_000_000)
+        .otherwise(price)
+        .alias("sls_price"),
     )
 
 

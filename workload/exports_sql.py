@@ -1,4 +1,7 @@
-"""``workload/exports.py`` and the layers in SQL, as common table expressions."""
+"""``workload/exports.py`` and the layers in SQL, as common table expressions.
+
+The codes, labels, column names and the rule for amounts are fixed values: the results must have them.
+"""
 
 from __future__ import annotations
 
@@ -40,8 +43,10 @@ EXPORTS = {
             WHEN l_linenumber = 4 THEN -q * p
             WHEN l_linenumber = 5 THEN q * p + 1
             ELSE q * p END AS sls_sales,
-          CASE WHEN l_linenumber = 1 AND l_discount > 0.08 THEN 0 ELSE q END AS sls_quantity,
-          CASE l_linenumber WHEN 1 THEN NULL WHEN 2 THEN -p ELSE p END AS sls_price
+          CASE WHEN l_linenumber = 1 AND l_discount > 0.08 THEN 0
+            WHEN l_linenumber <= 4 AND l_discount < 0.02 THEN NULL ELSE q END AS sls_quantity,
+          CASE WHEN l_linenumber = 1 THEN NULL WHEN l_linenumber = 2 THEN -p
+            WHEN l_linenumber >= 5 AND l_tax > 0.07 THEN 2000000000 ELSE p END AS sls_price
         FROM (SELECT *, CAST(l_quantity AS INTEGER) AS q,
                 CAST(floor(l_extendedprice / 100) AS INTEGER) AS p FROM lineitem)
         JOIN orders ON l_orderkey = o_orderkey""",
@@ -91,8 +96,10 @@ LAYERS = {
         SELECT sls_ord_num, sls_prd_key, sls_cust_id,
           {date_sql("sls_order_dt")} AS sls_order_dt, {date_sql("sls_ship_dt")} AS sls_ship_dt,
           {date_sql("sls_due_dt")} AS sls_due_dt,
-          CASE WHEN sls_price IS NOT NULL THEN sls_quantity * abs(sls_price)
-            WHEN sls_sales > 0 THEN sls_sales END AS sls_sales,
+          TRY_CAST(CASE WHEN sls_sales IS NULL OR sls_sales <= 0
+              OR sls_sales <> CAST(sls_quantity AS BIGINT) * abs(sls_price)
+            THEN CAST(sls_quantity AS BIGINT) * abs(sls_price) ELSE sls_sales END AS INTEGER)
+            AS sls_sales,
           sls_quantity, {price("sls_price", "sls_sales", "sls_quantity")} AS sls_price
         FROM sales""",
     "silver_products": """

@@ -93,6 +93,8 @@ ORACLE: dict[str, str] = {
     "layers_sql_transform": """
         SELECT o_custkey, count(*) AS orders FROM orders GROUP BY o_custkey""",
     "layers_reload": select_from("silver_locations"),
+    "layers_dim_products": select_from("dim_products"),
+    "layers_dim_customers": select_from("dim_customers"),
     "bronze_csv_scan": select_from("sales"),
     "bronze_dirty_csv": """
         SELECT CAST(l_orderkey AS INTEGER) AS order_key, CAST(l_linenumber AS INTEGER) AS line,
@@ -200,6 +202,9 @@ ORACLE: dict[str, str] = {
     "dq_checked_write": _checks(
         f"{_COLUMNS}, column_name, CAST(failure_rate AS DOUBLE) AS null_rate, threshold", "nulls"
     ),
+    "dq_raising_commit": _checks(
+        f"{_COLUMNS}, column_name, CAST(failure_rate AS DOUBLE) AS null_rate, threshold", "nulls"
+    ),
     "dq_duplicates": _checks(f"{_COLUMNS}, details", "duplicates"),
     "dq_value_set": _checks(f"{_COLUMNS}, details", "value_set"),
     "dq_ref_integrity": _checks(f"{_COLUMNS}, details", "references"),

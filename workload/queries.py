@@ -29,8 +29,8 @@ from assay.operators import (
     with_validity_end,
 )
 from assay.plans import gold, layers, silver
-from assay.plans.names import BRONZE, FACT_SALES, GOLD, SILVER, Names
-from assay.quality import QualityRunner, alerts, create_log, run_summary, truncate_log
+from assay.plans.names import BRONZE, DIM_CUSTOMERS, DIM_PRODUCTS, FACT_SALES, GOLD, SILVER, Names
+from assay.quality import QualityGateError, QualityRunner, alerts, create_log, run_summary, truncate_log
 from assay.session import new_path, remove
 from assay.sources import SOURCE_SCHEMAS, create_schema, read_csv
 from workload import exports
@@ -150,6 +150,41 @@ def layers_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(names.table(GOLD, FACT_SALES))
 
 
+def written(spark: SparkSession, folder: str, query: str, files: list[str], table_name: str) -> DataFrame:
+    """A dimension as the layers write it, from the exports it needs as CSV files."""
+    names = trial_names()
+    tidy(spark, query, *(names.schema(layer) for layer in (BRONZE, SILVER, GOLD)))
+    place = new_path(spark, query)
+    for layer in (BRONZE, SILVER, GOLD):
+        create_schema(spark, names.schema(layer), f"{place}/{layer}")
+    landing = f"{place}/landing"
+    for file in files:
+        writer = EXPORTS[file](spark, folder).write.option("header", True)
+        # blanks around a value belong to it
+        writer = writer.option("ignoreLeadingWhiteSpace", False)
+        writer.option("ignoreTrailingWhiteSpace", False).csv(f"{landing}/{file}")
+    sources = [s for s in layers.bronze_sources(landing, names) if s.path.removeprefix(f"{landing}/") in files]
+    layers.load_csv(spark, sources, at_once=3)
+    loaded = {s.table.rpartition(".")[2] for s in sources}
+    cleaned = layers.silver_transformations(names, AS_OF)
+    layers.transform(spark, [s for s in cleaned if s.destination.rpartition(".")[2] in loaded], at_once=3)
+    steps = {s.destination: s for s in layers.gold_transformations(names)}
+    target = names.table(GOLD, table_name)
+    layers.transform(spark, [steps[target]])
+    remove(spark, landing)
+    return spark.table(target)
+
+
+def layers_dim_products(spark: SparkSession, folder: str) -> DataFrame:
+    files = ["crm/prd_info.csv", "erp/PX_CAT_G1V2.csv"]
+    return written(spark, folder, "written-products", files, DIM_PRODUCTS)
+
+
+def layers_dim_customers(spark: SparkSession, folder: str) -> DataFrame:
+    files = ["crm/cust_info.csv", "erp/CUST_AZ12.csv", "erp/LOC_A101.csv"]
+    return written(spark, folder, "written-customers", files, DIM_CUSTOMERS)
+
+
 def layers_sql_transform(spark: SparkSession, folder: str) -> DataFrame:
     """A transformation given as SQL text, run twice: the second load replaces the first."""
     schema = trial_names().schema("gold")
@@ -453,6 +488,21 @@ def dq_checked_write(spark: SparkSession, folder: str) -> DataFrame:
     return null_report(spark.table(f"{audit}.quality_log"))
 
 
+def dq_raising_commit(spark: SparkSession, folder: str) -> DataFrame:
+    """The log of a commit that raised: its entries were saved before."""
+    audit = trial_names().schema("audit")
+    tidy(spark, "raising", audit)
+    create_schema(spark, audit, new_path(spark, "raising"))
+    log = f"{audit}.quality_log"
+    runner = QualityRunner(spark, "silver", **RUN, log_table=log)
+    null_checks(spark, folder, runner)
+    try:
+        runner.commit()
+    except QualityGateError:
+        return null_report(spark.table(log))
+    raise RuntimeError("the gate let critical failures pass")
+
+
 def dq_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return report(spark, folder, duplicate_checks).select(*CHECK_COLUMNS, "details")
 
@@ -532,6 +582,8 @@ QUERIES: dict[str, Query] = {
         layers_end_to_end,
         layers_sql_transform,
         layers_reload,
+        layers_dim_products,
+        layers_dim_customers,
         bronze_csv_scan,
         bronze_dirty_csv,
         silver_category_passthrough,
@@ -559,6 +611,7 @@ QUERIES: dict[str, Query] = {
         dq_row_count,
         dq_nulls,
         dq_checked_write,
+        dq_raising_commit,
         dq_duplicates,
         dq_value_set,
         dq_ref_integrity,
