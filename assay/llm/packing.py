@@ -35,8 +35,8 @@ SENTENCE_CUT, OTHER_CUT, PER_SEQUENCE = 4, 12, 16
 LONGEST_GAP = 48
 UNPADDED = (2048, 1024, 512)  # lengths of windows looked up as powers of two
 BUFFER = 1 << 19  # ids planned at once
-CACHED_WORDS = 1_000_000
-TOGETHER = 16  # words encoded as one text
+CACHED_WORDS = 600_000
+TOGETHER = 256  # words encoded as one text
 # Of the sentence ends within so many ids, one is a place to cut.
 GRAIN = 8
 
@@ -101,17 +101,32 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = list(map(self.words, texts))
-        new = set().union(*split) - self.cache.keys()
+        get, encoded, holes = self.cache.get, [], []
+        for ws in split:  # one look at each word; only where one is new a second
+            found = list(map(get, ws))
+            try:
+                encoded.append(b"".join(found))
+            except TypeError:
+                holes.append((len(encoded), ws, found))
+                encoded.append(b"")
+        if holes:
+            self._add({w for _, ws, found in holes for w, ids in zip(ws, found) if ids is None})
+            cache = self.cache
+            for k, ws, found in holes:
+                ids = [cache[w] if old is None else old for w, old in zip(ws, found)]
+                encoded[k] = b"".join(ids)
+        return [np.frombuffer(ids, "<u4") for ids in encoded]
+
+    def _add(self, new: set[bytes | str]) -> None:
+        """Put words into the cache, from the one before it if they are there."""
         if len(self.cache) + len(new) > CACHED_WORDS // 2:
             self.older, self.cache = self.cache, {"": b"", b"": b""}
-            new = set().union(*split) - self.cache.keys()
-        for word in new & self.older.keys():  # still in use
-            self.cache[word] = self.older[word]
-        new -= self.cache.keys()
-        self._learn([w for w in new if isinstance(w, bytes) and w.isalpha()], TOGETHER)
+        older = self.older
+        self.cache.update({w: older[w] for w in new if w in older})  # still in use
+        new = new.difference(self.cache)  # which looks words up; ``-`` would walk the cache
+        letters = [w for w in new if isinstance(w, bytes) and w.decode("latin-1").isalpha()]
+        self._learn(letters, TOGETHER)
         self._learn([w for w in new if w not in self.cache], 1)
-        get = self.cache.__getitem__
-        return [np.frombuffer(b"".join(map(get, ws)), "<u4") for ws in split]
 
     def _learn(self, new: list[bytes | str], together: int) -> None:
         """Cache the ids of words, ``together`` of them encoded as one text. Words of letters alone
