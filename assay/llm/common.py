@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +50,29 @@ def texts(array: pa.Array) -> list[bytes]:
     return [x or b"" for x in array.cast(pa.binary()).to_pylist()]
 
 
-def records(iterator: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
-    """The batches without empty ones, in slices of at most ``rows``."""
+_kept: tuple[str, Any] | None = None
+
+
+def kept(name: str, make: Callable[[], Any]) -> Any:
+    """What a worker keeps for its later tasks: one thing, until an operator of another kind starts."""
+    global _kept
+    if _kept is None or _kept[0] != name:
+        _kept = (name, make())
+    return _kept[1]
+
+
+def records(
+    iterator: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS, keeps: str | None = None
+) -> Iterator[pa.RecordBatch]:
+    """The batches without empty ones, in slices of at most ``rows``.
+
+    What the worker keeps for other operators than ``keeps`` goes first: workers serve one stage after
+    the other, and their memory has to do for each.
+    """
+    global _kept
+    if _kept is not None and _kept[0] != keeps:
+        _kept = None
+        pa.default_memory_pool().release_unused()
     for batch in iterator:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)

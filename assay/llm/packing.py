@@ -14,9 +14,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections import deque
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from assay.llm.common import prepare, records
+from assay.llm.common import kept, prepare, records
 
 WINDOW = 4096
 END_ID = 2
@@ -146,10 +144,9 @@ class Encoder:
                 self.cache[word] = raw[bounds[k] : bounds[k + 1]]
 
 
-@lru_cache(1)
 def encoder_of(path: str) -> Encoder:
     """The worker's encoder: its words serve the worker's later tasks too."""
-    return Encoder(path)
+    return kept(f"encoder {path}", lambda: Encoder(path))
 
 
 def plan(
@@ -162,14 +159,16 @@ def plan(
     """
     last = np.flatnonzero(np.diff(sentence_ends // GRAIN, append=-1))
     sentence_ends = sentence_ends[last]
-    cuts = np.union1d(np.concatenate([ends, sentence_ends, [total]]), [0]).astype(np.int64)
+    kind = np.zeros(total + 1, np.uint8)  # of each position: 1 a cut, 2 of a sentence, 3 of a document
+    kind[[0, total]] = 1
+    kind[sentence_ends] = 2
+    kind[ends] = 3
+    cuts = np.flatnonzero(kind)
     gaps = np.diff(cuts)
-    wide = np.flatnonzero(gaps > LONGEST_GAP)
-    more = [np.arange(cuts[k] + LONGEST_GAP, cuts[k + 1], LONGEST_GAP) for k in wide]
-    cuts = np.union1d(cuts, np.concatenate(more)) if more else cuts
-    penalty = np.full(len(cuts), OTHER_CUT, np.int64)
-    penalty[np.isin(cuts, sentence_ends)] = SENTENCE_CUT
-    penalty[np.isin(cuts, ends)] = 0
+    for k in np.flatnonzero(gaps > LONGEST_GAP):
+        kind[cuts[k] + LONGEST_GAP : cuts[k + 1] : LONGEST_GAP] = 1
+    cuts = np.flatnonzero(kind)
+    penalty = np.array([OTHER_CUT, OTHER_CUT, SENTENCE_CUT, 0], np.int64)[kind[cuts]]
     penalty[-1] = 0 if final else penalty[-1]
     exact: dict[int, list[int]] = {}
     for length in UNPADDED:
@@ -179,23 +178,29 @@ def plan(
 
     pos, pen = cuts.tolist(), (penalty + PER_SEQUENCE).tolist()
     cost, back = [0], [0]
-    queue = deque([(0, 0)])  # (f(i) + pos_i, i), increasing
+    # the monotone queue from ``head`` on: f(i) + pos_i, increasing, with pos_i and i
+    values, places, indices, head = [0], [0], [0], 0
     for j in range(1, len(pos)):
         here = pos[j]
-        while pos[queue[0][1]] < here - window:
-            queue.popleft()
-        least, i = queue[0]
-        best = least + window - here
-        for k in exact.get(j, ()):
-            if cost[k] < best:
-                best, i = cost[k], k
+        far = here - window
+        while places[head] < far:
+            head += 1
+        best, i = values[head] - far, indices[head]
+        if j in exact:
+            for k in exact[j]:
+                if cost[k] < best:
+                    best, i = cost[k], k
         best += pen[j]
         cost.append(best)
         back.append(i)
         best += here
-        while queue and queue[-1][0] >= best:
-            queue.pop()
-        queue.append((best, j))
+        while len(values) > head and values[-1] >= best:
+            values.pop()
+            places.pop()
+            indices.pop()
+        values.append(best)
+        places.append(here)
+        indices.append(j)
     first = np.searchsorted(cuts, total - window)
     tail: list[int] = []
     if final:
@@ -242,7 +247,7 @@ def pack(
         encoder, sequence = encoder_of(path), TaskContext.get().partitionId() << 40
         held: list[tuple[int | None, int, np.ndarray]] = []  # key, ids before, ids from there on
         size = 0
-        for batch in records(batches, 128):
+        for batch in records(batches, 128, f"encoder {path}"):
             values = [x or "" for x in batch.column(1).to_pylist()]
             for name, ids in zip(batch.column(0).to_pylist(), encoder.encode(values), strict=True):
                 held.append((name, 0, np.append(ids, np.uint32(end_id)).astype("<u4")))
