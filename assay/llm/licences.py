@@ -9,11 +9,12 @@ training never saw, and is confirmed by how much of the paragraph its templates
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, NGram
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,8 +31,6 @@ LEAST_WEIGHT = 0.02  # n-grams that tell classes apart by less are dropped
 TRAINING_BYTES = 1_000_000
 # Of notices of unseen licenses, the share that may pass for a known family.
 FALSE_FAMILY = 0.02
-# A notice has a word that is at least so many times as frequent in notices as in other paragraphs.
-ANCHOR_RATIO = 5
 # A paragraph of no sure class is an unknown license if its templates hold so much of it.
 LIKENESS, LIKE_PAIRS = 0.4, 2
 CONFIRMED = 0.5  # share of a paragraph's word pairs that its family's templates hold
@@ -113,13 +112,12 @@ OTHER_NAMES = (
 @dataclass(frozen=True)
 class Model:
     """For each class its bias; for each n-gram a weight per class, and the families that use it;
-    the words that only notices have, and the least probability of a known family."""
+    the least probability of a known family."""
 
     classes: tuple[str, ...]
     biases: tuple[float, ...]
     weights: dict[str, list[float]]
     families: dict[str, list[str]]
-    anchors: tuple[str, ...]
     threshold: float
 
 
@@ -177,7 +175,8 @@ def train(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Model:
     examples = stage(
         notices.union(ordinary)
         .union(_literal(spark, [{"text": "", "class": NONE, "held": False}] * 2, "text string, class string, held boolean"))
-        .withColumn("grams", word_grams(words(F.col("text")))),
+        .withColumn("words", words(F.col("text")))
+        .select("text", "class", "held", word_grams(F.col("words")).alias("grams")),
         "examples",
     )
     learned = examples.where("not held").repartition(PARTS)
@@ -204,7 +203,6 @@ def train(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Model:
         tuple(float(b) for b in fitted.interceptVector),
         {gram: [float(x) for x in column] for gram, column in used},
         _template_grams(spark, notices),
-        _anchors(examples.where("not held")),
         0.5,
     )
     strange = examples.where("held").select(F.monotonically_increasing_id().alias("row"), "grams")
@@ -215,32 +213,51 @@ def train(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Model:
     return replace(model, threshold=max(0.5, min(0.95, at or 0.5)))
 
 
-def _anchors(examples: DataFrame) -> tuple[str, ...]:
-    """The words whose share of the notices is well above their share of ordinary paragraphs."""
-    notice = (F.col("class") != NONE).cast("long")
-    counts = examples.agg(F.sum(notice).alias("n"), F.sum(1 - notice).alias("o")).first()
-    found = (
-        examples.select(
-            notice.alias("notice"), F.explode(F.array_distinct(_plain_words("text"))).alias("word")
-        )
-        .where("word <> ''")
-        .groupBy("word")
-        .agg(F.sum("notice").alias("n"), F.sum(1 - F.col("notice")).alias("o"))
-        .where(F.col("n") / counts.n >= ANCHOR_RATIO * (F.col("o") + 1) / (counts.o + 1))
-    )
-    return tuple(sorted(r.word for r in found.collect()))  # words of the fixed notices
+def _may_be_notice(lines: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``lines``, which have their ``words``, less those that are ordinary for certain, and
+    a number for each, ``row``.
 
+    Every n-gram of every paragraph counts. A notice is a row with a probability of ``none`` below one
+    half or with enough word pairs of one template. The first asks that another class' lead over
+    ``none`` is above ``-log(number of other classes)``; no lead is above the sum of the n-grams' best
+    leads. The second asks for as many pairs of all templates together. What either lets through is
+    for ``classified`` to decide.
+    """
+    names = model.classes
+    none = names.index(NONE)
+    grams = sorted(set(model.weights) | set(model.families))
 
-def _plain_words(text: Column) -> Column:
-    """Words between blanks and the common signs; cheap enough for every paragraph of a corpus."""
-    signs = "\t.,;:()[]\"'!?"
-    return F.split(F.translate(F.lower(text), signs, " " * len(signs)), " ")
+    def lead(values) -> float:
+        return max(x for k, x in enumerate(values) if k != none) - values[none]
+
+    leads = _fixed([lead(model.weights[g]) if g in model.weights else 0.0 for g in grams], "double")
+    template_pair = _fixed([g in model.families and g.count(" ") == 1 for g in grams], "boolean")
+    made = lines
+    for n in ORDERS[1:]:
+        made = NGram(n=n, inputCol="words", outputCol=f"runs{n}").transform(made)
+    made = made.withColumn("all_runs", F.concat("words", *(f"runs{n}" for n in ORDERS[1:])))
+    counter = CountVectorizerModel.from_vocabulary(grams, "all_runs", "features", binary=True)
+    # Spark moves no filter below a numbering; it would work out the n-grams again at each mention there
+    made = counter.transform(made).select(
+        *lines.columns,
+        "runs2",
+        F.unwrap_udt("features")["indices"].alias("known"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    best = F.aggregate("known", F.lit(lead(model.biases)), lambda a, i: a + F.get(leads, i))
+    alike = F.size(F.filter("known", lambda i: F.get(template_pair, i)))
+    # equal hashes of different pairs make this smaller, and let more through
+    pairs = F.size(F.array_distinct(F.transform("runs2", lambda x: F.xxhash64(x))))
+    slack = 1e-6  # for sums in another order
+    return made.where(
+        (best > -math.log(len(names) - 1) - slack)
+        | ((alike >= LIKE_PAIRS) & (alike >= LIKENESS * pairs - slack))
+    ).select("row", *lines.columns)
 
 
-def _may_be_notice(text: Column, model: Model) -> Column:
-    """Whether a paragraph has an anchor word; all others are ordinary."""
-    anchors = F.array(*map(F.lit, model.anchors)).cast("array<string>")
-    return F.arrays_overlap(_plain_words(text), anchors)
+def _fixed(values: list, kind: str) -> Column:
+    """A constant array."""
+    return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
 
 
 def classified(paragraphs: DataFrame, model: Model) -> DataFrame:
@@ -314,14 +331,14 @@ def scan(docs: DataFrame, model: Model | None = None, key: str = "doc_id", text:
     model = model or train(docs, text, key)
     lines = docs.select(
         F.col(key).alias("key"), F.posexplode(F.split(F.col(text), "\n")).alias("paragraph", "notice")
-    ).where(_may_be_notice(F.col("notice"), model))
+    )
     candidates = stage(
-        lines.select(
-            F.monotonically_increasing_id().alias("row"),
+        _may_be_notice(lines.withColumn("words", words(F.col("notice"))), model).select(
+            "row",
             "key",
             "paragraph",
             "notice",
-            word_grams(words(F.col("notice"))).alias("grams"),
+            word_grams(F.col("words")).alias("grams"),
         ),
         "paragraphs",
     )

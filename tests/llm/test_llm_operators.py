@@ -377,6 +377,34 @@ def test_licences_by_family(spark, docs):
     assert licences.scan(table.limit(0), model).count() == 0
 
 
+def test_notices_without_a_word_between_blanks(spark, docs):
+    model = licences.train(docs)
+    notices = {
+        "Released\u2014under\u2014the\u2014MIT\u2014License": "mit",
+        "Licensed\u00a0under\u00a0the\u00a0Apache\u00a0License,\u00a0Version\u00a02.0": "apache",
+        "All/rights/reserved": "proprietary",
+    }
+    texts = [(k, f"{PROSE}\n{n}") for k, n in enumerate(notices)]
+    table = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {r.doc_id: (r.paragraph, r.family) for r in licences.scan(table, model).collect()}
+    assert found == {k: (1, family) for k, family in enumerate(notices.values())}
+
+
+def test_no_paragraph_of_a_notice_is_left_out(spark, docs):
+    model = licences.train(docs)
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "notice"))
+    rows = lines.select(
+        F.concat_ws(":", "doc_id", "paragraph").alias("place"), licences.words(F.col("notice")).alias("words")
+    )
+    every = licences.classified(rows.select(F.col("place").alias("row"), licences.word_grams(F.col("words")).alias("grams")), model)
+    alike = (F.col("similarity") >= licences.LIKENESS) & (
+        F.col("similarity") * F.col("pairs") >= licences.LIKE_PAIRS
+    )
+    expected = {r.row for r in every.where((F.col("none_probability") < 0.5) | alike).collect()}
+    kept = {r.place for r in licences._may_be_notice(rows, model).collect()}
+    assert expected and expected <= kept
+
+
 def test_licence_scan_is_native(spark, docs):
     plan = licences.scan(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
