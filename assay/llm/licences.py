@@ -13,6 +13,7 @@ import math
 from dataclasses import dataclass, replace
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, NGram
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -137,9 +138,9 @@ def word_grams(tokens: Column) -> Column:
 
 
 def _literal(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
-    """A small table of fixed values."""
-    parsed = F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")
-    return spark.range(1).select(F.inline(parsed))
+    """A small table of fixed values. They are rows, not part of an expression: the driver keeps the text
+    of each query's plan, again at each of its changes, and a plan has its expressions written out."""
+    return spark.createDataFrame(pa.Table.from_pylist(rows), schema).coalesce(1)
 
 
 def _notices() -> list[dict]:
