@@ -34,7 +34,7 @@ LONGEST_GAP = 48
 UNPADDED = (2048, 1024, 512)  # lengths of windows looked up as powers of two
 BUFFER = 1 << 19  # ids planned at once
 CACHED_WORDS = 600_000
-TOGETHER = 256  # words encoded as one text
+TOGETHER = 64  # words encoded as one text
 # Of the sentence ends within so many ids, one is a place to cut.
 GRAIN = 8
 
@@ -60,6 +60,8 @@ _WORD = _latin(lambda c: c.isalpha() or c.isdigit())
 _PLAIN = _WORD + b" .,"
 _DOUBLED = (b"..", b".,", b",.", b",,")
 _JOINED = re.compile(rb"[^ " + re.escape(_WORD) + rb"][.,](?: |$)")
+# Letters and signs behind them; an apostrophe may belong to either.
+_SIGNED = re.compile(rb"([" + _latin(str.isalpha) + rb"]+)([!-&(-/:-@\[-`{-~]+)")
 
 
 class Encoder:
@@ -124,6 +126,13 @@ class Encoder:
         new = new.difference(self.cache)  # which looks words up; ``-`` would walk the cache
         letters = [w for w in new if isinstance(w, bytes) and w.decode("latin-1").isalpha()]
         self._learn(letters, TOGETHER)
+        # the tokenizer parts letters and signs, whatever stands on the other side
+        parted = {w: m for w in new if isinstance(w, bytes) and (m := _SIGNED.fullmatch(w))}
+        self._learn([*{m[1] for m in parted.values()}.difference(self.cache)], TOGETHER)
+        self._learn([*{m[2] for m in parted.values()}.difference(self.cache)], 1)
+        for word, m in parted.items():
+            if m[1] in self.cache:
+                self.cache[word] = self.cache[m[1]] + self.cache[m[2]]
         self._learn([w for w in new if w not in self.cache], 1)
 
     def _learn(self, new: list[bytes | str], together: int) -> None:
