@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assay import session
-from assay.llm import licences, packing
+from assay.llm import licences, packing, substring
 
 
 def test_stage_frees_what_its_write_shuffled(spark):
@@ -30,6 +30,15 @@ def test_stage_frees_what_its_write_shuffled(spark):
     assert spark.conf.get(session.FREE_SHUFFLES) == "false"
 
 
+def test_passages_are_compared_before_texts_are_dealt_to_be_cut(spark):
+    """The write of the texts that are left shuffles nothing of what the comparison shuffled."""
+    passage = " ".join(f"w{k}" for k in range(70))
+    rows = [(k, f"own{k} {passage} end{k}", 0) for k in range(4)]
+    left = substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string, n_chars int"))
+    assert "MapInArrow" not in left._jdf.queryExecution().toString()
+    assert {r.doc_id: r.text for r in left.collect()} == {0: rows[0][1]} | {k: f"own{k} end{k}" for k in (1, 2, 3)}
+
+
 def test_weights_are_rows_and_not_text_of_the_plan(spark):
     names = tuple([licences.NONE, licences.UNKNOWN, "mit"])
     weights = {f"gram{k}": [0.123456789 * k] * 3 for k in range(3000)}
